@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from conceptloom.functions.text import id_form
 from conceptloom.llm.components import concept_groups
+from conceptloom.llm.language import detect_segments, fit_model, mislabelled
 from conceptloom.llm.leakage import leaks
 from conceptloom.llm.nearest import all_frames, frame_units
 from conceptloom.llm.packing import pack_documents
+from conceptloom.llm.residue import contentless
 from conceptloom.llm.splitting import split_items, text_items
 from conceptloom.llm.survivors import choose_survivors, merged_aliases, merged_concepts
 from conceptloom.runtime import table
@@ -61,6 +63,16 @@ def p5_aliases(spark: SparkSession, d: str) -> DataFrame:
     return merged_aliases(table(spark, d, "stage6_raw_concepts"), _groups(spark, d))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    items = _items(spark, d)
+    return mislabelled(items, fit_model(table(spark, d, "lang_samples"), items)).select("item_table", "item_id", "lang").distinct()
+
+
+def p7_segments(spark: SparkSession, d: str) -> DataFrame:
+    items = _items(spark, d)
+    return detect_segments(items, fit_model(table(spark, d, "lang_samples"), items)).distinct()
+
+
 def p8_sequences(spark: SparkSession, d: str) -> DataFrame:
     return pack_documents(table(spark, d, "documents"))
 
@@ -73,9 +85,17 @@ def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
     return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return contentless(table(spark, d, "documents")).select("doc_id")
+
+
+def p10_reasons(spark: SparkSession, d: str) -> DataFrame:
+    return contentless(table(spark, d, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_pieces, p2_found, p2_frames, p3_found, p3_groups, p5_found, p5_concepts, p5_aliases, p8_sequences, p9_found, p9_leaks)
+    for f in (p1_found, p1_pieces, p2_found, p2_frames, p3_found, p3_groups, p5_found, p5_concepts, p5_aliases, p7_found, p7_segments, p8_sequences, p9_found, p9_leaks, p10_found, p10_reasons)
 }
 
 

@@ -148,7 +148,6 @@ def split_items(items: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) ->
 
 
 def text_items(units: DataFrame, segments: DataFrame) -> DataFrame:
-    """Units and segments as items: item_table, item_id, text."""
-    return units.select(F.lit("stage3_transcripts").alias("item_table"), F.col("unit_id").alias("item_id"), F.col("raw_text").alias("text")).unionByName(
-        segments.select(F.lit("stage5_segments").alias("item_table"), F.col("segment_id").alias("item_id"), F.col("merged_text").alias("text"))
-    )
+    """Units and segments as items: item_table, item_id, label (declared language), text."""
+    shape = lambda df, name, key, text: df.select(F.lit(name).alias("item_table"), F.col(key).alias("item_id"), F.col("lang").alias("label"), F.col(text).alias("text"))
+    return shape(units, "stage3_transcripts", "unit_id", "raw_text").unionByName(shape(segments, "stage5_segments", "segment_id", "merged_text"))
