@@ -79,7 +79,7 @@ def confidence_of(c: Column | str, default: float = 0.8) -> Column:
     number = F.when(F.lower(c).isin("nan", "+nan", "-nan"), F.lit(float("nan"))).when(
         c.rlike(r"^[+-]?(\d[\d_]*\.?\d*|\.\d+)([eE][+-]?\d+)?$"), F.replace(c, F.lit("_"), F.lit("")).try_cast("double")
     )
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)), F.lit(default))
+    return F.when(number.isNull(), F.lit(default)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), number)))
 
 
 def digits_clamped(c: Column | str, default: int = 2, low: int = 1, high: int = 5) -> Column:
