@@ -274,14 +274,21 @@ def fit_model(samples: DataFrame, items: DataFrame | None = None, vocabulary: st
     """Fit on labelled rows (lang, text), at most MAX_SAMPLES of them in the order of sample_id.
 
     With items (item_id, label, text), the model so fitted reads up to MAX_LABELLED of their labelled rows, drawn by a hash
-    of their id, keeps those that it finds to be wholly in the language of their label, and is fitted on both.
+    of their id, keeps those that it finds to be wholly in the language of their label, and is fitted on both. Without any
+    labelled sentence the model knows no language, and nothing is detected.
     """
     rows = samples.select("sample_id", "lang", "text").dropna().orderBy("sample_id").limit(MAX_SAMPLES).collect()
     labelled, hashes = [(r["lang"], r["text"]) for r in rows], read_pieces(vocabulary)
+    if not labelled:
+        return Model([], hashes, np.empty((0, 0)))
     model = Model.fit(labelled, hashes)
     if items is None:
         return model
-    drawn = items.select("label", "text", F.xxhash64("item_id", "text").alias("h")).dropna().orderBy("h").limit(MAX_LABELLED).collect()
+    rows = items.filter(F.col("label") != "")
+    # A share of the hash range that holds about half as many again as wanted, so that what is sent stays bounded.
+    share = min(1.0, 1.5 * MAX_LABELLED / max(1, rows.select("label").count()))
+    h = F.xxhash64("item_table", "item_id")
+    drawn = rows.filter(h.cast("double") < F.lit(-(2.0**63) + share * 2.0**64)).select("label", "text", h.alias("h")).dropna().orderBy("h").limit(MAX_LABELLED).collect()
     found = Detector(model).stretches([r["text"] for r in drawn])
     agreed = [(label_form(r["label"]), r["text"]) for r, f in zip(drawn, found) if len(f) == 1 and model.languages[f[0][2]] == label_form(r["label"])]
     return Model.fit(labelled + agreed, hashes)
@@ -301,6 +308,8 @@ def _detected(items: DataFrame, model: Model, schema: str, rows_of) -> DataFrame
                 out = [x for row, text, found in zip(some.itertuples(index=False), texts, detector.stretches(texts)) for x in rows_of(row, text, found, detector.model.languages)]
                 yield pd.DataFrame(out, columns=columns)
 
+    if not model.languages:
+        return items.sparkSession.createDataFrame([], schema)
     wanted = [c for c in ("item_table", "item_id", "label", "text") if c in items.columns]
     return items.filter(F.col("text") != "").select(*wanted).mapInPandas(detect, schema)
 
