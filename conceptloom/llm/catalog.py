@@ -141,7 +141,7 @@ _RANKED = (
   FROM stage6_raw_concepts c JOIN groups g ON g.concept_id = lower({_blanks("c.concept_id")})
 ), chosen AS (
   SELECT group_id, first(concept_id ORDER BY trust DESC NULLS LAST, frequency DESC NULLS LAST, extracted_at DESC NULLS LAST, concept_id) AS survivor_id,
-    first(concept_id ORDER BY size DESC, concept_id) AS definition_id, count(*) AS n_members, sum(frequency) AS frequency, min(extracted_at) AS first_at, max(extracted_at) AS last_at
+    first(concept_id ORDER BY size DESC, concept_id) AS definition_id, count(*) AS n_members, coalesce(sum(frequency), 0) AS frequency, min(extracted_at) AS first_at, max(extracted_at) AS last_at
   FROM rows GROUP BY 1 HAVING count(*) > 1
 )
 """

@@ -54,14 +54,15 @@ def choose_survivors(concepts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 def merged_concepts(concepts: DataFrame, groups: DataFrame) -> DataFrame:
-    """One concept per group of two or more: the survivor's fields, the fullest definition, the sum of frequencies
-    over distinct members, the span of extraction times and the number of members."""
+    """One concept per group of two or more: the survivor's fields, the fullest definition, the sum of known
+    frequencies over distinct members, the span of extraction times and the number of members."""
     chosen = choose_survivors(concepts, groups)
-    rows = concepts.withColumn("concept_id", id_form("concept_id")).dropDuplicates(["concept_id"])
+    fields = ("name", "type", "domain", "chapter_id", "source_type", "confidence", "definition", "frequency", "extracted_at")
+    rows = concepts.select(id_form("concept_id").alias("concept_id"), *fields).dropDuplicates(["concept_id"])
     base = rows.select(F.col("concept_id").alias("survivor_id"), "name", "type", "domain", "chapter_id", "source_type", trusted().alias("confidence"))
     text = rows.select(F.col("concept_id").alias("definition_id"), strip_blanks("definition").alias("definition"))
     total = rows.join(groups, "concept_id").groupBy("group_id").agg(
-        F.count(F.lit(1)).alias("n_members"), F.sum(F.col("frequency").cast("long")).alias("frequency"), F.min("extracted_at").alias("first_at"), F.max("extracted_at").alias("last_at")
+        F.count(F.lit(1)).alias("n_members"), F.coalesce(F.sum(F.col("frequency").cast("long")), F.lit(0)).alias("frequency"), F.min("extracted_at").alias("first_at"), F.max("extracted_at").alias("last_at")
     )
     return chosen.join(total, "group_id").join(base, "survivor_id").join(text, "definition_id").select(
         "group_id", "survivor_id", "definition_id", "name", "type", "domain", "chapter_id", "source_type", "confidence", "definition", "n_members", "frequency", "first_at", "last_at"
