@@ -155,7 +155,7 @@ def leaks(documents: DataFrame, items: DataFrame, seed_words: int = SEED_WORDS,
             owner, h = owner[hit], h[hit]
             which, first = np.unique(owner, return_index=True)
             out = rows.iloc[which].copy()
-            out["hits"] = [np.unique(x) for x in np.split(h, first[1:])] if len(which) else []
+            out["hits"] = pd.Series([np.unique(x) for x in np.split(h, first[1:])] if len(which) else [], index=out.index, dtype=object)
             return out[["doc_id", "text", "hits"]]
 
         for rows in batches:

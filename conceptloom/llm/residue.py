@@ -27,7 +27,7 @@ SLOTS = {
     "order": r"(?i:\[\[?(?:[^\[\]\n]*\b)?(?:insert|your|placeholder|to add|to be \w+|tbd|tba|todo|fill in|here goes|einfügen|ausfüllen|ergänzen|à compléter|à remplir|insérer|insertar|completar|rellenar|inserir|preencher)(?:\b[^\[\]\n]*)?\]\]?|\[[^\[\]\n]{0,20}(?:待补|填写|插入|भरें|जोड़ें)[^\[\]\n]{0,20}\]|\((?:insert|enter your|einfügen|insérer|insertar|inserir):? [\w. ]{2,40}\))",
     "blank": r"\([^()\n]{3,60}\)_{3,}|(?m:^[\w ]{2,30}: ?_{4,}\s*$)",
     "value": r"\[object Object\]|\bNaN ?%|(?m:^\s*undefined\s*$)|\b(?:Dear|Hello|Hi|Unit:?|[Cc]ourse|lesson on|learn how|Definition of|See also:|by|with) undefined\b",
-    "format": r"(?<![\w%])%[sd](?!\w)|(?<![{\\\w^_,])\{\d\}(?![},])",
+    "format": r"(?<![\w%])%[sd](?!\w)|(?<![{\\\w^_])(?<!\}, )\{\d\}(?!\}|, ?\{)",
 }
 _SLOT = re.compile("|".join(f"(?P<g{i}>{p})" for i, p in enumerate(SLOTS.values())))
 _MAYBE_SLOT = re.compile(r"[{<%@$]|\[(?!\d+:\d)|#\{|__|::|undefined|NaN|\((?i:insert|enter|einf|ins[eé]r)")
