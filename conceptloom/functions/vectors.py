@@ -23,8 +23,9 @@ def cosine(a: Column | str, b: Column | str) -> Column:
 
 
 def unit(a: Column | str) -> Column:
-    n = F.nullif(norm(a), F.lit(0.0))
-    return F.coalesce(F.transform(_c(a), lambda x: x.cast("double") / n), _c(a).cast("array<double>"))
+    """The vector at length 1; one of length 0 stays."""
+    n = norm(a)
+    return F.transform(_c(a), lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
 
 
 def distance(a: Column | str, b: Column | str) -> Column:

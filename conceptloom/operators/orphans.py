@@ -52,7 +52,7 @@ def orphan_references(references: DataFrame, parents: DataFrame, keys: list[str]
     Each reference matches, as of its time, the run before it; it is an orphan if its time lies beyond that run's end.
     missing: no record of the key at all; late: a record is created after the reference; deleted: all that was there
     had ended. A reference without time is an orphan; a record without creation time never lives, one that ends no
-    later than it begins neither. Null keys are no references. Columns of ``references`` stay as they are.
+    later than it begins neither. Null keys are no references. Columns of ``references`` stay as they are, but for one that is itself named kind.
     """
     runs = existence_runs(parents.dropna(subset=keys), keys, created, deleted)
     runs = runs.select(*[F.col(k).alias(f"__p_{k}") for k in keys], *[F.col(c).alias(f"__{c}") for c in ("run_start", "run_end", "run_next", "last_created")])
@@ -67,7 +67,7 @@ def orphan_references(references: DataFrame, parents: DataFrame, keys: list[str]
         .when(F.col("__last_created") > F.col(at), "late")
         .otherwise("deleted")
     )
-    return met.withColumn("kind", kind).filter(F.col("kind").isNotNull()).select(*references.columns, "kind")
+    return met.withColumn("kind", kind).filter(F.col("kind").isNotNull()).select(*[c for c in references.columns if c != "kind"], "kind")
 
 
 def relation_references(relations: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ def source_kind(path: Column) -> Column:
 
 
 def files(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, name, suffix, kind, length, modified) of the files in a folder, without their content."""
+    """(path, name, suffix, kind, length, modified) of the non-empty files in a folder, without their content."""
     rows = spark.read.format("binaryFile").load(folder)
     return rows.select("path", path_name("path").alias("name"), path_suffix("path").alias("suffix"), source_kind(F.col("path")).alias("kind"), "length", F.col("modificationTime").alias("modified"))
 
@@ -66,7 +66,7 @@ def _unit(df: DataFrame, kind: str, chapter: str, start: Column, stop: Column, t
 
 def text_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
     """One unit per text file; the ordinal counts blank ones too, which give no unit."""
-    rows = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     rows = numbered(rows, "path")
     return _unit(rows.filter(strip_white("text") != ""), "text", chapter, F.col("n"), F.col("n"), F.col("text"), F.col("n"))
 
@@ -97,7 +97,7 @@ def cues(text: Column) -> Column:
 
 def cue_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
     """One unit per non-blank cue of SRT and VTT files."""
-    rows = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.posexplode(cues(F.col("value"))).alias("n", "c"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(cues(F.col("value"))).alias("n", "c"))
     return _unit(rows, "text", chapter, F.col("c.start"), F.col("c.stop"), F.col("c.text"), F.col("n"))
 
 
@@ -122,7 +122,7 @@ def transcript_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
 
 def unknown_json_units(spark: SparkSession, path: str, chapter: str, most: int = 4000) -> DataFrame:
     """JSON of an unknown shape: one unit with the document's first characters; unparsable documents give '[]'."""
-    rows = spark.read.option("wholetext", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     whole = F.coalesce(F.to_json(F.try_variant_get(F.try_parse_json("text"), "$", "variant")), F.lit("[]"))
     return _unit(rows, "json", chapter, F.lit(0), F.lit(0), F.substring(whole, 1, most), F.lit(0))
 
