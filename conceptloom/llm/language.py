@@ -19,7 +19,7 @@ PIECE_BYTES, RUN_BYTES = 14, 42
 #: A word speaks against a language by so many nats at most; the price of a change of language inside and between sentences.
 AGAINST, CHANGE_INSIDE, CHANGE_AT_STOP = 6.0, 14.0, 5.0
 #: A stretch holds a full sentence from so many words (or characters of scripts without spaces) and nats of evidence.
-SENTENCE_WORDS, SENTENCE_SIGNS, SENTENCE_NATS = 5, 7, 14.0
+SENTENCE_WORDS, SENTENCE_SIGNS, SENTENCE_NATS = 5, 7, 11.0
 #: Known words kept in a task's memory, and words and characters of text worked on at a time.
 KNOWN_WORDS, CHUNK_CHARS = 500_000, 1_000_000
 
