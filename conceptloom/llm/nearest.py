@@ -16,7 +16,7 @@ def _finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
 
 
-def neighbour_intervals(spans: DataFrame, tolerance: float) -> DataFrame:
+def neighbour_intervals(spans: DataFrame, tolerance: float, scratch: Scratch | None = None) -> DataFrame:
     """For spans (entity, a, b, item), intervals (entity, since, until, item, lo, hi, a) that hold every time at which
     the span can be the nearest.
 
@@ -25,12 +25,14 @@ def neighbour_intervals(spans: DataFrame, tolerance: float) -> DataFrame:
     the tolerance, and given to the best span that ends or starts there. The intervals are slightly widened: they may
     overlap where distances tie, and the final choice among matches is exact.
     """
+    scratch = scratch or Scratch(spans.sparkSession, "intervals")
     rows = (
         spans.filter(_finite(F.col("a")) & _finite(F.col("b")))
         .groupBy("entity", "a", "b")
         .agg(F.min("item").alias("item"))
         .withColumns({"lo": F.least("a", "b"), "hi": F.greatest("a", "b")})
     )
+    rows = scratch.save(rows, "spans")
     chunk = F.floor(F.col("lo") / F.lit(CHUNK))
     starts = rows.groupBy("entity", "lo").agg(
         F.max("hi").alias("hi"),
@@ -39,6 +41,7 @@ def neighbour_intervals(spans: DataFrame, tolerance: float) -> DataFrame:
     )
     starts = starts.withColumn("nxt", F.when(F.col("forward_hi").isNotNull(), F.struct(F.col("lo").alias("lo"), F.col("forward_hi").alias("hi"))))
     starts = running_extremes(starts, ["entity"], "lo", chunk, max_before={"reached": "hi"}, min_after={"later": "nxt"})
+    starts = scratch.save(starts.select("entity", "lo", "first", "reached", "later"), "starts")
 
     inside = rows.join(starts.select("entity", "lo", "later"), ["entity", "lo"]).select(
         "entity",
@@ -76,7 +79,7 @@ def nearest_match(left: DataFrame, spans: DataFrame, tolerance: float) -> DataFr
     scratch = Scratch(left.sparkSession, "nearest")
     length = F.greatest(F.col("until") - F.col("since"), F.lit(BASE))
     class_ = F.ceil(F.log2(length / F.lit(BASE))).cast("int")
-    intervals = neighbour_intervals(spans, tolerance).withColumn("class", class_).withColumn("width", F.lit(BASE) * F.pow(F.lit(2.0), F.col("class")))
+    intervals = neighbour_intervals(spans, tolerance, scratch).withColumn("class", class_).withColumn("width", F.lit(BASE) * F.pow(F.lit(2.0), F.col("class")))
     intervals = scratch.save(intervals, "intervals")
     classes = [r[0] for r in intervals.select("class").distinct().collect()]  # at most one for each power of two
     cells = intervals.withColumn("cell", F.explode(F.sequence(F.floor(F.col("since") / F.col("width")), F.floor(F.col("until") / F.col("width"))))).drop("width")
