@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from conceptloom.functions.text import name_form, present
 from conceptloom.operators.scans import running_extremes
+from conceptloom.runtime import Scratch
 
 #: Before and after any time, as microseconds.
 BEGINNING, END = -(1 << 62), 1 << 62
@@ -22,11 +23,13 @@ def existence_runs(parents: DataFrame, keys: list[str], created: str, deleted: s
     before the first, so that every time matches exactly one run of a key that was ever there. last_created is the
     latest creation of the key.
     """
+    scratch = Scratch(parents.sparkSession, "runs")
     lives = (
         parents.select(*keys, F.col(created).alias("created"), F.coalesce(F.col(deleted), F.lit(END)).alias("deleted"))
         .groupBy(*keys, "created")
         .agg(F.max("deleted").alias("deleted"))
     )
+    lives = scratch.save(lives, "lives")  # read several times below
     born = lives.filter(F.col("created").isNotNull() & (F.col("deleted") > F.col("created")))
     chunk = F.floor(F.col("created") / F.lit(30 * DAY))
     seen = running_extremes(born, keys, "created", chunk, max_before={"reached": "deleted"})
