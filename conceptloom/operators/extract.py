@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptloom.config import CONCEPT_TYPES, RELATIONS
-from conceptloom.functions.text import confidence_of, lines, pipe_parts, relation_form, strip_white
+from conceptloom.functions.text import confidence_of, digits_clamped, lines, pipe_parts, relation_form, strip_white
 
 
 def _lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -80,3 +80,9 @@ def question_relations(questions: DataFrame, key: str) -> DataFrame:
     return questions.select(key, F.substring("question", 1, 100).alias("source_name"), F.lit("contrasts_with").alias("relation"), F.explode("wrong").alias("w")).select(
         key, "source_name", "relation", F.substring("w", 1, 80).alias("target_name"), F.lit(0.7).alias("confidence")
     )
+
+
+def topic_lines(df: DataFrame, key: str, text: str) -> DataFrame:
+    """TITLE | SUMMARY | DIFFICULTY, the first line that isn't blank: (key, title, summary, difficulty)."""
+    rows = _first(_lines(df, key, text), key, 1)
+    return rows.select(key, F.substring(_part(0), 1, 80).alias("title"), F.coalesce(_part(1), F.lit("")).alias("summary"), digits_clamped(F.coalesce(_part(2), F.lit(""))).alias("difficulty"))

@@ -153,3 +153,9 @@ def resolved_relations(relations: DataFrame, canonical: DataFrame, last: bool =
     for side, key in (("source", "__s"), ("target", "__t")):
         rows = rows.join(index.select("chapter_id", F.col("key").alias(key), F.col("id").alias(side)), ["chapter_id", key])
     return rows.drop("__s", "__t")
+
+
+def remapped(df: DataFrame, column: str, remap: DataFrame) -> DataFrame:
+    """df with the ids of a column replaced by their canonical ids (old_id, canonical_id; the smallest of several); others stay."""
+    one = remap.dropna().groupBy(F.col("old_id").alias(column)).agg(F.min("canonical_id").alias("__new"))
+    return df.join(one, column, "left").withColumn(column, F.coalesce("__new", column)).drop("__new")

@@ -133,3 +133,28 @@ def aligned_keyframes(segs: DataFrame, frames: DataFrame, most: int = DEFAULTS.k
     first = met.withColumn("r", rank).filter(F.col("r") <= most)
     listed = first.groupBy("segment_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "frame_path"))), lambda x: x.frame_path), ",").alias("keyframes"))
     return met.groupBy("segment_id").agg(F.count(F.lit(1)).alias("n_frames")).join(listed, "segment_id")
+
+
+def with_captions(units: DataFrame, captions: DataFrame, most: int = 2 * DEFAULTS.keyframes) -> DataFrame:
+    """(unit_id, visual_caption): a unit's new captions (unit_id, place, caption) in order, one a line, the first ``most`` of them;
+    without any the old caption, or an empty one."""
+    rank = F.row_number().over(Window.partitionBy("unit_id").orderBy("place", "caption"))
+    first = captions.filter(F.coalesce("caption", F.lit("")) != "").select("unit_id", "place", "caption").withColumn("r", rank).filter(F.col("r") <= most)
+    joined = first.groupBy("unit_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "caption"))), lambda x: x.caption), "\n").alias("new"))
+    old = units.dropDuplicates(["unit_id"]).select("unit_id", F.coalesce("visual_caption", F.lit("")).alias("old"))
+    return old.join(joined, "unit_id", "left").select("unit_id", F.coalesce("new", "old").alias("visual_caption"))
+
+
+def whole_sentences(df: DataFrame, key: str, text: str, most: int) -> DataFrame:
+    """(key, chunk): the first sentences of a text that together have at most ``most`` words; if not even one has, the first
+    6 * most characters."""
+    parts = F.regexp_extract_all(text, F.lit(r"[^.!?]*[.!?]+\s*|[^.!?]+$"), F.lit(0))
+    start = F.struct(F.lit("").alias("t"), F.lit(0).alias("n"), F.lit(False).alias("full"))
+
+    def step(acc: Column, s: Column) -> Column:
+        n = acc["n"] + F.size(words(s))
+        full = acc["full"] | (n > most)
+        return F.struct(F.when(full, acc["t"]).otherwise(F.concat(acc["t"], s)).alias("t"), F.when(full, acc["n"]).otherwise(n).alias("n"), full.alias("full"))
+
+    got = F.aggregate(parts, start, step)["t"]
+    return df.select(key, F.when(got != "", strip_white(got)).otherwise(F.substring(text, 1, 6 * most)).alias("chunk"))

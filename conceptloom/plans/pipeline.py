@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from conceptloom.config import DOMAINS
 from conceptloom.functions.text import digits_clamped, name_form, normal_name, think_stripped
-from conceptloom.operators import clusters, extract, frames, graph, ordered, pairs, prereqs, resolve, segments
+from conceptloom.adapters import hashed_embedding
+from conceptloom.operators import clusters, extract, frames, graph, ordered, pairs, prereqs, resolve, segments, topics
 from conceptloom.runtime import table
 from conceptloom.sources import readers
 
@@ -83,6 +84,22 @@ def chunk_words(s: SparkSession, d: str) -> DataFrame:
     return segments.first_words(table(s, d, "documents"), "doc_id", "text", 64).select("doc_id", F.md5("head").alias("head_md5"))
 
 
+@query
+def sentence_chunks(s: SparkSession, d: str) -> DataFrame:
+    return segments.whole_sentences(table(s, d, "documents"), "doc_id", "text", 40).select("doc_id", F.md5("chunk").alias("chunk_md5"))
+
+
+@query
+def caption_join(s: SparkSession, d: str) -> DataFrame:
+    made = _frames(s, d).dropDuplicates(["frame_path"]).select("unit_id", F.col("frame_num").alias("place"), F.concat(F.lit("frame "), F.regexp_extract("frame_path", "([^/]*)$", 1)).alias("caption"))
+    return segments.with_captions(_units(s, d), made).select("unit_id", F.md5("visual_caption").alias("caption_md5"))
+
+
+@query
+def text_embeddings(s: SparkSession, d: str) -> DataFrame:
+    return _units(s, d).select("unit_id", hashed_embedding(F.col("raw_text")).alias("embedding"))
+
+
 @query
 def modality_coverage(s: SparkSession, d: str) -> DataFrame:
     return _units(s, d).groupBy("chapter_id").agg(F.count_distinct("source_type").alias("n_types"), F.count_distinct("source_path").alias("n_sources"), F.count_distinct("unit_id").alias("n_units"))
@@ -200,6 +217,12 @@ def digits_clamp(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "part").select("p_partkey", digits_clamped("p_brand").cast("long").alias("level"))
 
 
+@query
+def topic_lines(s: SparkSession, d: str) -> DataFrame:
+    got = extract.topic_lines(_raw(s, d).dropDuplicates(["concept_id"]), "concept_id", "raw_line")
+    return got.withColumn("difficulty", F.col("difficulty").cast("long"))
+
+
 # Names and concepts
 
 
@@ -235,6 +258,11 @@ def id_remap(s: SparkSession, d: str) -> DataFrame:
     return resolve.id_remap(_raw(s, d))
 
 
+@query
+def remap_concepts(s: SparkSession, d: str) -> DataFrame:
+    return resolve.remapped(_raw(s, d).select("concept_id", "concept_seq").distinct(), "concept_id", table(s, d, "stage7_id_remap"))
+
+
 @query
 def name_resolve_first(s: SparkSession, d: str) -> DataFrame:
     return resolve.resolved_relations(_rels(s, d), _canon(s, d)).select("relation_id", "source", "target")
@@ -338,8 +366,12 @@ def change_boundaries(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def topic_difficulty(s: SparkSession, d: str) -> DataFrame:
-    rows = _canon(s, d).dropDuplicates(["concept_id"]).groupBy("chapter_id", "domain").agg(F.avg("difficulty").alias("a"), F.count(F.lit(1)).alias("n"))
-    return rows.select("chapter_id", "domain", F.greatest(F.lit(1), F.least(F.lit(5), F.col("a").cast("int") + 1)).cast("long").alias("difficulty"), "n")
+    return topics.topic_difficulty(_canon(s, d).dropDuplicates(["concept_id"]), ["chapter_id", "domain"])
+
+
+@query
+def topic_clusters(s: SparkSession, d: str) -> DataFrame:
+    return topics.topic_clusters(_vectors(s, d), "label", "vec_id", "embedding", 3)
 
 
 def _graph(s, d):

@@ -148,6 +148,14 @@ SQL = {
     "qa_units": "SELECT item_id, 'Q: ' || text || chr(10) || 'A: ' || answer || chr(10) || CASE WHEN exam <> '' THEN 'Wrong: ' || exam ELSE '' END AS unit_text FROM eval_items",
     "merge_context": f"SELECT DISTINCT unit_id, md5({CONTEXT}) AS context_md5 FROM stage3_transcripts",
     "chunk_words": f"SELECT doc_id, md5(array_to_string(({words('text')})[1:64], ' ')) AS head_md5 FROM documents",
+    "sentence_chunks": f"""WITH p AS (
+  SELECT doc_id, text, unnest(regexp_extract_all(text, '[^.!?]*[.!?]+\\s*|[^.!?]+$')) AS s, generate_subscripts(regexp_extract_all(text, '[^.!?]*[.!?]+\\s*|[^.!?]+$'), 1) AS i FROM documents
+), n AS (SELECT *, sum(len({words("s")})) OVER (PARTITION BY doc_id ORDER BY i) AS n FROM p), c AS (SELECT doc_id, string_agg(s, '' ORDER BY i) AS t FROM n WHERE n <= 40 GROUP BY 1)
+SELECT doc_id, md5(coalesce({strip("t")}, substr(text, 1, 240))) AS chunk_md5 FROM documents LEFT JOIN c USING (doc_id)""",
+    "caption_join": f"""WITH {UNITS}, {FRAMES}, r AS (
+  SELECT unit_id, 'frame ' || regexp_extract(frame_path, '([^/]*)$', 1) AS c, row_number() OVER (PARTITION BY unit_id ORDER BY frame_num NULLS FIRST, 'frame ' || regexp_extract(frame_path, '([^/]*)$', 1)) AS r FROM frames
+), j AS (SELECT unit_id, string_agg(c, chr(10) ORDER BY r) AS new FROM r WHERE r <= 20 GROUP BY 1)
+SELECT unit_id, md5(coalesce(new, visual_caption, '')) AS caption_md5 FROM units LEFT JOIN j USING (unit_id)""",
     "modality_coverage": "SELECT chapter_id, count(DISTINCT source_type) AS n_types, count(DISTINCT source_path) AS n_sources, count(DISTINCT unit_id) AS n_units FROM stage3_transcripts GROUP BY 1",
     "transcript_overlap": f"""WITH {UNITS}, {SEGS}, spans AS (SELECT segment_id, span_start, span_end, unnest(list_distinct(source_paths)) AS p FROM segs)
 SELECT s.segment_id, count(*) AS n_cues, min(u.unit_id) AS first_id FROM spans s JOIN units u ON u.source_path = s.p AND u.source_type = 'video'
@@ -201,11 +209,16 @@ QUALIFY row_number() OVER (PARTITION BY relation_id ORDER BY line_no) <= 10""",
 SELECT doc_id, md5(q) AS question_md5, md5(a) AS answer_md5, CAST(coalesce(len(list_filter(string_split(w, ','), lambda x: {strip("x")} <> '')), 0) AS BIGINT) AS n_wrong FROM g WHERE q <> '' AND a <> ''""",
     "think_strip": f"SELECT DISTINCT concept_id, md5({strip('raw_line')}) AS reply_md5 FROM stage6_raw_concepts",
     "digits_clamp": "SELECT p_partkey, greatest(1, least(5, coalesce(try_cast(regexp_replace(p_brand, '[^0-9]', '', 'g') AS BIGINT), 2))) AS level FROM part",
+    "topic_lines": f"""WITH {_lines("stage6_raw_concepts", "concept_id")}
+SELECT concept_id, substr(p[1], 1, 80) AS title, coalesce(p[2], '') AS summary, greatest(1, least(5, coalesce(try_cast(regexp_replace(coalesce(p[3], ''), '[^0-9]', '', 'g') AS INT), 2)))::BIGINT AS difficulty
+FROM cut QUALIFY row_number() OVER (PARTITION BY concept_id ORDER BY line_no) = 1""",
     "normalize_names": f"SELECT DISTINCT concept_id, regexp_replace(lower({strip('name')}), '[^a-z0-9 ]', '', 'g') AS norm, {name('name')} AS form FROM stage6_raw_concepts",
     "exact_name_groups": f"WITH {RAW} SELECT chapter_id, form, min(concept_seq) AS first_seq, count(*) AS n FROM raw GROUP BY 1, 2",
     "canonical_concepts": _CANONICAL
     + f"SELECT chapter_id, form, canonical_id, name, frequency, round(least(1.0, 0.7 * {_SURE.replace('confidence', 'c')} + 0.3 * frequency / greatest(most, 1)), 6) AS confidence, n_aliases, n_segments FROM canonical",
     "id_remap": _CANONICAL + "SELECT concept_id AS old_id, canonical_id FROM raw JOIN canonical USING (chapter_id, form) WHERE concept_id <> canonical_id",
+    "remap_concepts": """WITH m AS (SELECT old_id, min(canonical_id) AS new FROM stage7_id_remap WHERE old_id IS NOT NULL AND canonical_id IS NOT NULL GROUP BY 1)
+SELECT coalesce(new, concept_id) AS concept_id, concept_seq FROM (SELECT DISTINCT concept_id, concept_seq FROM stage6_raw_concepts) LEFT JOIN m ON old_id = concept_id""",
     "name_resolve_first": f"WITH {RELS}, {CANON}, {_INDEX}, {_RESOLVED} SELECT relation_id, s1 AS source, t1 AS target FROM resolved",
     "name_resolve_last": f"WITH {RELS}, {CANON}, {_INDEX}, {_RESOLVED} SELECT relation_id, s2 AS source, t2 AS target FROM resolved",
     "edge_dedup_max": _PREREQS + "SELECT * FROM edges",

@@ -149,3 +149,17 @@ def sibling_transcripts(listed: DataFrame) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("video").orderBy(F.asc_nulls_last("place"), "transcript"))
     met = rows.filter("kind = 'video'").select("dir", "stem", F.col("path").alias("video")).join(beside, ["dir", "stem"], "left")
     return met.withColumn("r", rank).filter("r = 1").select("video", "transcript")
+
+
+def first_table(spark: SparkSession, *paths: str) -> DataFrame:
+    """The first of several tables that exists: a stage's newest output, else an earlier stage's."""
+    for path in paths:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+            return spark.read.parquet(path)
+    raise FileNotFoundError(", ".join(paths))
+
+
+def selected_path(folder: str, video: Column, frame: Column) -> Column:
+    """Where a selected frame is copied to: below its video, so that frames of equal names don't collide."""
+    return F.concat_ws("/", F.lit(folder.rstrip("/")), F.regexp_replace(video, r"^/+|\.[^./]*$", ""), path_name(frame))
