@@ -156,6 +156,12 @@ SQL = {
     "p3_groups": _GROUPS
     + f"""SELECT concept_id, coalesce(group_id, concept_id) AS group_id
 FROM (SELECT DISTINCT lower({_blanks("concept_id")}) AS concept_id FROM stage6_raw_concepts WHERE {_blanks("concept_id")} <> '') FULL JOIN groups USING (concept_id)""",
+    "p9_found": """WITH runs AS (
+  SELECT id, is_doc, array_to_string(w[i : i + 9], ' ') AS run FROM (
+    SELECT id, is_doc, w, unnest(range(1, len(w) - 8)) AS i FROM (
+      SELECT doc_id AS id, true AS is_doc, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
+      UNION ALL SELECT item_id, false, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM eval_items)))
+SELECT DISTINCT i.id AS item_id, d.id AS doc_id FROM runs i JOIN runs d ON d.run = i.run AND d.is_doc AND NOT i.is_doc""",
     "p5_found": _RANKED + "SELECT group_id, survivor_id, definition_id FROM chosen",
     "p5_concepts": _RANKED
     + """SELECT c.group_id, survivor_id, definition_id, s.name, s.type, s.domain, s.chapter_id, s.source_type, s.trust AS confidence, t.definition,
