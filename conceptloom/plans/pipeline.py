@@ -9,7 +9,7 @@ from conceptloom.config import DOMAINS
 from conceptloom.functions.text import digits_clamped, name_form, normal_name, think_stripped
 from conceptloom.adapters import hashed_embedding
 from conceptloom.operators import clusters, extract, frames, graph, ordered, pairs, prereqs, resolve, segments, topics
-from conceptloom.runtime import table
+from conceptloom.runtime import Scratch, table
 from conceptloom.sources import readers
 
 QUERIES = {}
@@ -375,13 +375,15 @@ def topic_clusters(s: SparkSession, d: str) -> DataFrame:
 
 
 def _graph(s, d):
-    nodes = graph.graph_nodes(_canon(s, d), _units(s, d))
-    return nodes, graph.graph_edges(nodes, _rels(s, d), _canon(s, d))
+    """Nodes and edges, written once: the views read them several times."""
+    scratch = Scratch(s, "graph")
+    nodes = scratch.save(graph.graph_nodes(_canon(s, d), _units(s, d)), "nodes")
+    return nodes, scratch.save(graph.graph_edges(nodes, _rels(s, d), _canon(s, d)), "edges")
 
 
 @query
 def graph_nodes(s: SparkSession, d: str) -> DataFrame:
-    return _graph(s, d)[0]
+    return graph.graph_nodes(_canon(s, d), _units(s, d))
 
 
 @query
@@ -430,7 +432,7 @@ def triples(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def node_style(s: SparkSession, d: str) -> DataFrame:
-    return graph.node_style(_graph(s, d)[0])
+    return graph.node_style(graph.graph_nodes(_canon(s, d), _units(s, d)))
 
 
 @query
