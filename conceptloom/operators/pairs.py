@@ -15,25 +15,28 @@ from conceptloom.functions.vectors import norm
 BLOCK = 2_000
 
 
-def _blocks(vectors: DataFrame, scope: str, item: str, vector: str, reach: float | None, block: int) -> DataFrame:
-    """Each vector once for every pair of blocks that it is in: __x <= __y are the blocks, __b is its own.
+def blocked(rows: DataFrame, scope: str, item: str, near: tuple[int, ...], block: int = BLOCK) -> DataFrame:
+    """Rows (scope, item, cell, ...) once for every pair of blocks that they are in: __x <= __y are the blocks, __b is their own.
 
-    With a reach (an angle), vectors are first put into cells by their angle to one fixed direction: vectors whose
-    angles to it differ by more than the reach are farther apart than that, so only neighbouring cells meet. Cells of more
-    than ``block`` vectors are divided by hash.
+    Cells of one scope meet themselves and those ``near`` them; a cell of more than ``block`` rows is divided by hash.
     """
+    cells = rows.groupBy(scope, "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("long").alias("subs"))
+    own = rows.join(cells, [scope, "cell"]).withColumn("sub", F.pmod(F.xxhash64(item), F.col("subs"))).drop("subs")
+    met = cells.select(scope, F.explode(F.array(*[F.col("cell") + k for k in near])).alias("cell"), F.col("cell").alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs") - 1)).alias("other_sub"))
+    name = lambda c, s: F.concat(F.lpad(c.cast("string"), 8, "0"), F.lit("/"), F.lpad(s.cast("string"), 9, "0"))
+    both = own.join(met, [scope, "cell"]).withColumns({"__b": name(F.col("cell"), F.col("sub")), "__o": name(F.col("other"), F.col("other_sub"))})
+    return both.withColumns({"__x": F.least("__b", "__o"), "__y": F.greatest("__b", "__o")}).drop("__o", "cell", "sub", "other", "other_sub")
+
+
+def _blocks(vectors: DataFrame, scope: str, item: str, vector: str, reach: float | None, block: int) -> DataFrame:
+    """Vectors in blocks. With a reach (an angle), cells are by the angle to one fixed direction: vectors whose angles to it
+    differ by more than the reach are farther apart than that, so only neighbouring cells meet."""
     rows = vectors.select(scope, item, F.col(vector).cast("array<double>").alias("v")).filter(norm("v") > 0)
     if reach is None or reach >= math.pi / 2:
-        rows = rows.withColumn("cell", F.lit(0).cast("long"))
-    else:
-        total = F.aggregate("v", F.lit(0.0), lambda s, x: s + x) / (norm("v") * F.sqrt(F.size("v")))
-        rows = rows.withColumn("cell", F.floor(F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), total))) / F.lit(reach + 1e-9)))
-    cells = rows.groupBy(scope, "cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("long").alias("subs"))
-    rows = rows.join(cells, [scope, "cell"]).withColumn("sub", F.pmod(F.xxhash64(item), F.col("subs"))).drop("subs")
-    near = cells.select(scope, F.explode(F.array(*[F.col("cell") + k for k in ((0,) if reach is None else (-1, 0, 1))])).alias("cell"), F.col("cell").alias("other"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("subs") - 1)).alias("other_sub"))
-    name = lambda c, s: F.concat(F.lpad(c.cast("string"), 6, "0"), F.lit("/"), F.lpad(s.cast("string"), 9, "0"))
-    met = rows.join(near, [scope, "cell"]).select(scope, item, "v", name(F.col("cell"), F.col("sub")).alias("__b"), name(F.col("other"), F.col("other_sub")).alias("__o"))
-    return met.withColumns({"__x": F.least("__b", "__o"), "__y": F.greatest("__b", "__o")}).drop("__o")
+        return blocked(rows.withColumn("cell", F.lit(0).cast("long")), scope, item, (0,), block)
+    total = F.aggregate("v", F.lit(0.0), lambda s, x: s + x) / (norm("v") * F.sqrt(F.size("v")))
+    angle = F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), total)))
+    return blocked(rows.withColumn("cell", F.floor(angle / F.lit(reach + 1e-9))), scope, item, (-1, 0, 1), block)
 
 
 def _both(rows: pd.DataFrame, item: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, bool]:

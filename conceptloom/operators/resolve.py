@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
+import zlib
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from conceptloom.config import DEFAULTS, EngineConfig
 from conceptloom.functions.text import name_form, normal_name, present
+from conceptloom.operators.pairs import blocked
 from conceptloom.runtime import Scratch
 
 
@@ -26,45 +30,58 @@ def indel_ratio(a: str, b: str) -> float:
     return 200.0 * (len(a) - s.bit_count()) / (len(a) + len(b))
 
 
-@F.pandas_udf(T.DoubleType())
-def _ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([indel_ratio(x, y) for x, y in zip(a, b)], dtype="float64")
+#: Buckets into which the grams of names are counted.
+BUCKETS = 512
+
+
+def gram_counts(names: list[str], grams: int) -> np.ndarray:
+    """Counts of each name's grams in hashed buckets. The product of two rows is at least the number of grams that the names
+    share, repeated ones included."""
+    out = np.zeros((len(names), BUCKETS), dtype=np.float32)
+    for i, s in enumerate(names):
+        for k in range(len(s) - grams + 1):
+            out[i, zlib.crc32(s[k : k + grams].encode("utf-8", "surrogatepass")) % BUCKETS] += 1
+    return out
 
 
-def fuzzy_pairs(names: DataFrame, scope: str, seq: str, name: str, threshold: float, grams: int = 2) -> DataFrame:
+def fuzzy_pairs(names: DataFrame, scope: str, seq: str, name: str, threshold: float, grams: int = 2, block: int = 2_000) -> DataFrame:
     """(scope, seq_a, seq_b, ratio) of names in one scope whose indel ratio reaches the threshold, seq_a < seq_b.
 
-    Names must be distinct per scope. At ratio T the names differ in at most d = (1 - T/100) * (len a + len b) single
-    insertions and deletions, each of which changes at most ``grams`` grams, so names of n grams share at least
-    n - d * grams of them: candidates meet in one of their rarest d * grams + 1 grams (a prefix filter) and lie in the same
-    band of lengths. Names too short for that bound are compared by length alone. No pair is lost.
+    Names must be distinct per scope. At ratio T two names differ in at most d = (1 - T/100) * (len a + len b) single
+    insertions and deletions. Each changes at most ``grams`` grams, so they share at least max(grams a, grams b) - d * grams
+    of them, and their lengths lie in a band. Names of near bands of length meet block by block; a product of gram counts
+    bounds what a pair shares from above, and the ratio is taken only where the bound allows it. No pair is lost, and only
+    pairs that reach the threshold leave a task. Null names are left out, empty ones are equal.
     """
-    rows = names.select(scope, seq, F.col(name).alias("s"), F.char_length(name).alias("len"))
-    # The longest partner has len * T / (200 - T) ... len * (200 - T) / T characters; d is taken for it.
-    most = F.floor(F.col("len") * F.lit((200.0 - threshold) / threshold) + F.lit(1e-9))
-    d = F.floor((F.col("len") + most) * F.lit(1.0 - threshold / 100.0) + F.lit(1e-9)).cast("int")
-    n = F.greatest(F.col("len") - F.lit(grams - 1), F.lit(0))
-    rows = rows.withColumns({"keep": (d * grams + 1).cast("int"), "n": n.cast("int")})
-    # A partner can be prefix-filtered only if every possible partner has more grams than it may lose.
-    short = F.col("n") * F.lit(threshold / (200.0 - threshold)) - F.lit(grams) <= F.col("keep")
-    rows = rows.withColumn("short", short)
-    split = F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.substring(F.col("s"), i, F.lit(grams)))
-    gram = rows.filter(~F.col("short")).select(scope, seq, "s", "len", "keep", F.posexplode(F.array_sort(split)).alias("i", "g"))
-    # Repeated grams of a name are told apart by their number, so that multisets are compared.
-    gram = gram.withColumn("g", F.concat("g", F.row_number().over(Window.partitionBy(scope, seq, "g").orderBy("i")).cast("string")))
-    often = gram.groupBy(scope, "g").agg(F.count(F.lit(1)).alias("df"))
-    ranked = gram.join(often, [scope, "g"]).withColumn("r", F.row_number().over(Window.partitionBy(scope, seq).orderBy("df", "g"))).filter(F.col("r") <= F.col("keep"))
-    a = ranked.select(scope, "g", F.col(seq).alias("seq_a"), F.col("s").alias("sa"), F.col("len").alias("la"))
-    b = ranked.select(scope, "g", F.col(seq).alias("seq_b"), F.col("s").alias("sb"), F.col("len").alias("lb"))
-    band = (F.least("la", "lb") * F.lit(200.0 - threshold) >= F.greatest("la", "lb") * F.lit(threshold) - F.lit(1e-9))
-    met = a.join(b, [scope, "g"]).filter((F.col("seq_a") < F.col("seq_b")) & band).select(scope, "seq_a", "seq_b", "sa", "sb").distinct()
-    # Short names meet all names of the few lengths that the band allows.
-    ends = lambda df, x: df.select(scope, F.col(seq).alias(f"seq_{x}"), F.col("s").alias(f"s{x}"), F.col("len").alias(f"l{x}"))
-    reach = F.explode(F.sequence(F.ceil(F.col("l1") * F.lit(threshold / (200.0 - threshold)) - F.lit(1e-9)).cast("int"), F.floor(F.col("l1") * F.lit((200.0 - threshold) / threshold) + F.lit(1e-9)).cast("int")))
-    near = ends(rows.filter("short"), "1").withColumn("l2", reach).join(ends(rows, "2"), [scope, "l2"]).filter(F.col("seq_1") != F.col("seq_2"))
-    first = F.col("seq_1") < F.col("seq_2")
-    near = near.select(scope, F.least("seq_1", "seq_2").alias("seq_a"), F.greatest("seq_1", "seq_2").alias("seq_b"), F.when(first, F.col("s1")).otherwise(F.col("s2")).alias("sa"), F.when(first, F.col("s2")).otherwise(F.col("s1")).alias("sb"))
-    return met.unionByName(near).distinct().withColumn("ratio", _ratio("sa", "sb")).filter(F.col("ratio") >= threshold).select(scope, "seq_a", "seq_b", "ratio")
+    low = threshold / (200.0 - threshold)
+    rows = names.select(scope, F.col(seq).alias("seq"), F.col(name).alias("s")).dropna(subset=["s"])
+    by_length = F.when(F.char_length("s") == 0, F.lit(-9)).otherwise(F.floor(F.log(F.char_length("s").cast("double")) / F.lit(-math.log(min(low, 0.99)) + 1e-9))).cast("long")
+    size = rows.groupBy(scope).agg(F.count(F.lit(1)).alias("__n"))  # a scope of one block needs no bands
+    rows = rows.join(size, scope).withColumn("cell", F.when(F.col("__n") <= block, F.lit(0).cast("long")).otherwise(by_length)).drop("__n")
+    kind = dict(names.dtypes)
+
+    def of(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates(["seq", "__b"]).sort_values("seq")
+        same = rows["__x"].iloc[0] == rows["__y"].iloc[0]
+        a, b = rows[rows["__b"] == rows["__x"].iloc[0]], rows[rows["__b"] == rows["__y"].iloc[0]]
+        out = []
+        if len(a) and len(b):
+            sa, sb, qa, qb = a["s"].tolist(), b["s"].tolist(), a["seq"].to_numpy(), b["seq"].to_numpy()
+            la, lb = (np.array([len(x) for x in y], dtype=np.float32) for y in (sa, sb))
+            most = np.floor((1.0 - threshold / 100.0) * (la[:, None] + lb[None, :]) + 1e-4)
+            need = np.maximum(np.maximum(la[:, None], lb[None, :]) - grams + 1, 0) - most * grams
+            may = (gram_counts(sa, grams) @ gram_counts(sb, grams).T >= need) & (np.abs(la[:, None] - lb[None, :]) <= most)
+            if same:
+                may = np.triu(may, 1)
+            for i, j in zip(*np.nonzero(may)):
+                ratio = indel_ratio(sa[i], sb[j])
+                if ratio >= threshold:
+                    out.append((min(qa[i], qb[j]), max(qa[i], qb[j]), ratio))
+        got = pd.DataFrame(out, columns=["seq_a", "seq_b", "ratio"])
+        got.insert(0, scope, rows[scope].iloc[0])
+        return got
+
+    return blocked(rows, scope, "seq", (-1, 0, 1), block).groupBy(scope, "__x", "__y").applyInPandas(of, f"{scope} {kind[scope]}, seq_a {kind[seq]}, seq_b {kind[seq]}, ratio double")
 
 
 def leaders(pairs: DataFrame, items: DataFrame, scope: str, seq: str) -> DataFrame:
@@ -100,7 +117,7 @@ def lexical_groups(concepts: DataFrame, config: EngineConfig = DEFAULTS) -> Data
     Equal normalised names are one item, at the place of the earliest of them.
     """
     rows = concepts.dropDuplicates(["concept_id"]).select("concept_id", "chapter_id", "concept_seq", normal_name("name", ascii_only=False).alias("norm"))
-    items = rows.groupBy("chapter_id", "norm").agg(F.min("concept_seq").alias("seq"))
+    items = Scratch(concepts.sparkSession, "names").save(rows.groupBy("chapter_id", "norm").agg(F.min("concept_seq").alias("seq")), "items")
     pairs = fuzzy_pairs(items, "chapter_id", "seq", "norm", config.lexical_ratio)
     led = leaders(pairs, items, "chapter_id", "seq")
     return rows.join(items, ["chapter_id", "norm"]).join(led, ["chapter_id", "seq"]).select("concept_id", F.col("leader").alias("leader_seq"))

@@ -41,15 +41,15 @@ def lcs(a, b):
     return d[-1][-1]
 
 
-@pytest.mark.parametrize("threshold", [60.0, 85.0, 95.0])
-def test_fuzzy_pairs_lose_none(spark, threshold):
+@pytest.mark.parametrize("threshold,block", [(60.0, 2000), (60.0, 9), (85.0, 9), (95.0, 20)])
+def test_fuzzy_pairs_lose_none(spark, threshold, block):
     r = random.Random(int(threshold))
     names = {"", "a", "ab"}
     while len(names) < 70:
         base = "".join(r.choice("abc ") for _ in range(r.randrange(1, 22)))
         names |= {base, base[1:], base + r.choice("abc"), base[: len(base) // 2] + "x" + base[len(base) // 2 :]}
     rows = list(enumerate(sorted(names)))
-    got = {(x.seq_a, x.seq_b): x.ratio for x in resolve.fuzzy_pairs(spark.createDataFrame([("s", i, n) for i, n in rows], "scope string, seq int, name string"), "scope", "seq", "name", threshold).collect()}
+    got = {(x.seq_a, x.seq_b): x.ratio for x in resolve.fuzzy_pairs(spark.createDataFrame([("s", i, n) for i, n in rows], "scope string, seq int, name string"), "scope", "seq", "name", threshold, block=block).collect()}
     want = {}
     for i, a in rows:
         for j, b in rows[i + 1 :]:
