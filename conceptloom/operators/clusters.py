@@ -7,19 +7,26 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from conceptloom.functions.vectors import dot
 
 
 def nearest_seed(vectors: DataFrame, key: str, vector: str, seeds: DataFrame) -> DataFrame:
     """(key, seed, similarity): the seed (seed, place, seed_vector) most similar to each vector, the first on ties; without any
-    positive similarity 'general' and 0. Seeds are a short fixed list, one for each domain, and are checked to be that."""
-    listed = seeds.limit(1001).collect()
+    positive similarity 'general' and 0. Seeds are a short fixed list, one for each domain, and are checked to be that; rows
+    without a vector are left out."""
+    listed = seeds.orderBy("place").limit(1001).collect()
     if len(listed) > 1000:
         raise ValueError("more than 1,000 seeds")
-    few = vectors.sparkSession.createDataFrame([(r["seed"], r["place"], list(map(float, r["seed_vector"]))) for r in listed], "seed string, place long, seed_vector array<double>")
-    met = vectors.select(key, vector).crossJoin(F.broadcast(few)).select(key, "seed", "place", dot(vector, "seed_vector").alias("s"))
-    best = met.groupBy(key).agg(F.min(F.when(F.col("s") > 0, F.struct((-F.col("s")).alias("m"), "place", "seed"))).alias("b"))
-    return best.select(key, F.coalesce("b.seed", F.lit("general")).alias("seed"), F.coalesce(-F.col("b.m"), F.lit(0.0)).alias("similarity"))
+    names, table = [r["seed"] for r in listed], np.array([r["seed_vector"] for r in listed], dtype=float)
+
+    @F.pandas_udf("seed string, similarity double")
+    def nearest(batch: pd.Series) -> pd.DataFrame:
+        if not names or not len(batch):
+            return pd.DataFrame({"seed": ["general"] * len(batch), "similarity": 0.0})
+        near = np.stack(batch.to_numpy()).astype(float) @ table.T
+        at, top = near.argmax(axis=1), near.max(axis=1)  # the first of equal ones
+        return pd.DataFrame({"seed": [names[i] if t > 0 else "general" for i, t in zip(at, top)], "similarity": np.maximum(top, 0.0)})
+
+    return vectors.filter(F.col(vector).isNotNull()).withColumn("__m", nearest(vector)).select(key, "__m.seed", "__m.similarity")
 
 
 def triage(similarity, merge: float, check: float):
