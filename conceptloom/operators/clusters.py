@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-
 def nearest_seed(vectors: DataFrame, key: str, vector: str, seeds: DataFrame) -> DataFrame:
     """(key, seed, similarity): the seed (seed, place, seed_vector) most similar to each vector, the first on ties; without any
     positive similarity 'general' and 0. Seeds are a short fixed list, one for each domain, and are checked to be that; rows
