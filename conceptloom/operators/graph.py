@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptloom.config import DEFAULTS, NODE_TYPES, RELATIONS, EngineConfig
-from conceptloom.operators.prereqs import is_prerequisite, prerequisite_edges
+from conceptloom.operators.prereqs import acyclic, is_prerequisite, prerequisite_edges
 from conceptloom.operators.resolve import resolved_relations
+from conceptloom.runtime import Scratch
 
 
 def graph_nodes(canonical: DataFrame, units: DataFrame) -> DataFrame:
@@ -31,14 +32,15 @@ def graph_nodes(canonical: DataFrame, units: DataFrame) -> DataFrame:
     return atomic.unionByName(topics).unionByName(chapters).unionByName(sources)
 
 
-def graph_edges(nodes: DataFrame, relations: DataFrame, canonical: DataFrame) -> DataFrame:
+def graph_edges(nodes: DataFrame, relations: DataFrame, canonical: DataFrame, dag: DataFrame | None = None) -> DataFrame:
     """(source, target, type, confidence, cross_domain, chapter_id): has_topic, contains, requires and other relations between
-    nodes that exist; of parallel edges of one type the best confidence."""
+    nodes that exist; of parallel edges of one type the best confidence. With a dag, its edges are the requires edges
+    instead of all prerequisites."""
     live = canonical.filter(F.col("deleted_at").isNull())
     concept = nodes.filter("type = 'AtomicConcept'").select("id", "chapter_id", "domain")
     has = nodes.filter("type = 'TopicGodNode'").select(F.concat(F.lit("chapter:"), F.col("chapter_id")).alias("source"), F.col("id").alias("target"), F.lit("has_topic").alias("type"), F.lit(1.0).alias("confidence"), "chapter_id")
     contains = concept.select(F.concat_ws("/", "chapter_id", "domain").alias("source"), F.col("id").alias("target"), F.lit("contains").alias("type"), F.lit(1.0).alias("confidence"), "chapter_id")
-    requires = prerequisite_edges(relations, live).select("source", "target", F.lit("requires").alias("type"), "confidence", "chapter_id")
+    requires = (prerequisite_edges(relations, live) if dag is None else dag).select("source", "target", F.lit("requires").alias("type"), "confidence", "chapter_id")
     other = resolved_relations(relations.filter(~is_prerequisite()), live, last=True).filter((F.col("source") != F.col("target")) & F.col("relation").isin(RELATIONS))
     sure = F.coalesce(F.nanvl("confidence", F.lit(None)), F.lit(0.0))
     semantic = other.groupBy("source", "target", F.col("relation").alias("type"), "chapter_id").agg(F.max(sure).alias("confidence"))
@@ -78,6 +80,17 @@ def quality_gates(nodes: DataFrame, edges: DataFrame, scope: str = "chapter_id",
     return all_.select(scope, F.explode(checks).alias("c")).select(scope, "c.*")
 
 
+def quality_report(nodes: DataFrame, edges: DataFrame, scope: str = "chapter_id", config: EngineConfig = DEFAULTS) -> DataFrame:
+    """(scope, check, value, threshold, passed, all_passed): the quality gates, whether the requires edges and whether all edges
+    are free of cycles (no edges are), and whether the scope passes every check."""
+    gates = Scratch(nodes.sparkSession, "gates").save(quality_gates(nodes, edges, scope, config), "gates")
+    scopes, out = gates.select(scope).distinct(), gates
+    for name, some in (("dag_acyclic", edges.filter("type = 'requires'")), ("graph_acyclic", edges)):
+        free = F.coalesce("acyclic", F.lit(True))
+        out = out.unionByName(scopes.join(acyclic(some, scope), scope, "left").select(scope, F.lit(name).alias("check"), free.cast("double").alias("value"), F.lit(1.0).alias("threshold"), free.alias("passed")))
+    return out.withColumn("all_passed", F.bool_and("passed").over(Window.partitionBy(scope)))
+
+
 def graph_summary(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(kind, type, n) over the fixed lists of types, with zeros; other types are not listed."""
     fixed = lambda kind, types: nodes.sparkSession.createDataFrame([(kind, t) for t in types], "kind string, type string")

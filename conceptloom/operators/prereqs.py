@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from conceptloom.functions.text import relation_form
 from conceptloom.operators.pairs import similar_pairs
 from conceptloom.operators.resolve import resolved_relations
 from conceptloom.runtime import Scratch
@@ -15,6 +16,11 @@ def is_prerequisite():
     return F.coalesce(F.col("is_prereq"), F.lit(False)) | F.coalesce(F.col("relation") == "requires", F.lit(False))
 
 
+def plain_relations(relations: DataFrame) -> DataFrame:
+    """Relations with their kind as the parsers write it: lower case, stripped, blanks inside as underscores."""
+    return relations.withColumn("relation", relation_form("relation"))
+
+
 def prerequisite_edges(relations: DataFrame, canonical: DataFrame, last: bool = False) -> DataFrame:
     """(chapter_id, source, target, confidence): resolved prerequisite relations, self loops removed, the best confidence of each
     edge (at least 0; NaN and null count as 0)."""

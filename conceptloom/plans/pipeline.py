@@ -438,3 +438,38 @@ def node_style(s: SparkSession, d: str) -> DataFrame:
 @query
 def edge_style(s: SparkSession, d: str) -> DataFrame:
     return graph.edge_style(_graph(s, d)[1]).withColumn("width", F.round("width", 6))
+
+
+# The whole graph: every spelling of a relation counts and requires edges have no cycles. The queries above keep to their SQL.
+
+
+@query
+def dag_edges(s: SparkSession, d: str) -> DataFrame:
+    return prereqs.break_cycles(prereqs.prerequisite_edges(prereqs.plain_relations(_rels(s, d)), _canon(s, d).filter("deleted_at IS NULL")))
+
+
+def _dag_graph(s, d):
+    scratch = Scratch(s, "dag-graph")
+    nodes = scratch.save(graph.graph_nodes(_canon(s, d), _units(s, d)), "nodes")
+    return nodes, scratch.save(graph.graph_edges(nodes, prereqs.plain_relations(_rels(s, d)), _canon(s, d), dag_edges(s, d)), "edges")
+
+
+@query
+def dag_graph_edges(s: SparkSession, d: str) -> DataFrame:
+    return _dag_graph(s, d)[1].select("source", "target", "type", F.round("confidence", 6).alias("confidence"), "cross_domain", "chapter_id")
+
+
+@query
+def dag_requires_view(s: SparkSession, d: str) -> DataFrame:
+    nodes, edges = _dag_graph(s, d)
+    return graph.induced(nodes.filter("type = 'AtomicConcept'"), edges.filter("type = 'requires'")).select("source", "target")
+
+
+@query
+def dag_triples(s: SparkSession, d: str) -> DataFrame:
+    return graph.triples(*_dag_graph(s, d))
+
+
+@query
+def dag_quality_gates(s: SparkSession, d: str) -> DataFrame:
+    return graph.quality_report(*_dag_graph(s, d)).withColumn("value", F.round("value", 6))
