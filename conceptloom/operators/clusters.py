@@ -34,21 +34,26 @@ def triage(similarity, merge: float, check: float):
 
 
 def density_clusters(points: np.ndarray, least: int) -> np.ndarray:
-    """Labels by hierarchical density clustering (excess of mass over the mutual-reachability tree); -1 is noise."""
+    """Labels by hierarchical density clustering (excess of mass over the mutual-reachability tree); -1 is noise.
+
+    Distances are computed as they are needed, never held as a matrix: memory is linear in the points, time quadratic.
+    """
     n = len(points)
     if n < least + 1:
         return np.full(n, -1)
     sq = (points**2).sum(axis=1)
-    d = np.sqrt(np.maximum(sq[:, None] + sq[None, :] - 2 * points @ points.T, 0))
-    core = np.sort(d, axis=1)[:, min(least, n - 1)]
-    reach = np.maximum(np.maximum(core[:, None], core[None, :]), d)
+    step = max(1, 4_000_000 // n)
+    apart = lambda at: np.sqrt(np.maximum(sq[at][..., None] + sq - 2 * points[at] @ points.T, 0))
+    k = min(least, n - 1)
+    core = np.concatenate([np.partition(apart(slice(i, i + step)), k, axis=1)[:, k] for i in range(0, n, step)])
     inside, best, near = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
     edges, at = [], 0
     for _ in range(n - 1):  # Prim's tree
-        inside[at] = True
-        closer = ~inside & (reach[at] < best)
-        best[closer], near[closer] = reach[at][closer], at
-        nxt = int(np.where(inside, np.inf, best).argmin())
+        inside[at], best[at] = True, np.inf
+        reach = np.maximum(np.maximum(core[at], core), apart(at))
+        closer = ~inside & (reach < best)
+        best[closer], near[closer] = reach[closer], at
+        nxt = int(best.argmin())
         edges.append((best[nxt], near[nxt], nxt))
         at = nxt
     edges.sort()
@@ -124,22 +129,16 @@ def density_clusters(points: np.ndarray, least: int) -> np.ndarray:
     return labels
 
 
-def clustered(vectors: DataFrame, scope: str, item: str, vector: str, least: int, most: int = 5_000) -> DataFrame:
-    """(scope, item, cluster): density clusters within each scope, -1 for noise.
-
-    The tree needs all distances of a scope, so a scope of more than ``most`` items is first cut by hash into cells of about
-    that many, which are clustered each on their own (cluster numbers then start at cell * most).
-    """
+def clustered(vectors: DataFrame, scope: str, item: str, vector: str, least: int) -> DataFrame:
+    """(scope, item, cluster): density clusters within each scope, one tree for all of its items, -1 for noise."""
     kind = dict(vectors.dtypes)
-    n = vectors.groupBy(scope).agg(F.ceil(F.count(F.lit(1)) / F.lit(most)).cast("long").alias("cells"))
-    rows = vectors.select(scope, item, vector).join(n, scope).withColumn("cell", F.pmod(F.xxhash64(item), F.col("cells")))
 
     def of(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(item)
         labels = density_clusters(np.stack(rows[vector].to_numpy()).astype(float), least)
-        return pd.DataFrame({scope: rows[scope].to_numpy(), item: rows[item].to_numpy(), "cluster": np.where(labels < 0, -1, labels + int(rows["cell"].iloc[0]) * most)})
+        return pd.DataFrame({scope: rows[scope].to_numpy(), item: rows[item].to_numpy(), "cluster": labels})
 
-    return rows.groupBy(scope, "cell").applyInPandas(of, f"{scope} {kind[scope]}, {item} {kind[item]}, cluster long")
+    return vectors.select(scope, item, vector).groupBy(scope).applyInPandas(of, f"{scope} {kind[scope]}, {item} {kind[item]}, cluster long")
 
 
 def principal(points: np.ndarray, most: int = 10) -> np.ndarray:
