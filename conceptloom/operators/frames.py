@@ -11,6 +11,7 @@ from conceptloom.functions.vectors import distance
 from conceptloom.operators.ordered import running_counts
 from conceptloom.operators.pairs import similar_pairs
 from conceptloom.operators.resolve import leaders
+from conceptloom.runtime import Scratch
 
 
 def frame_times(frames: DataFrame, fps: float = 1.0) -> DataFrame:
@@ -76,22 +77,84 @@ def kmeans(points: np.ndarray, k: int, rounds: int = 25, seed: int = 42) -> tupl
     return labels, centres
 
 
-def representatives(vectors: DataFrame, scope: str, item: str, vector: str, k: int, sample: int = 20_000) -> DataFrame:
-    """(scope, cluster, item, distance, size): the item nearest to each centre of a k-means in each scope.
+def _nearest_centre(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return ((centres**2).sum(axis=1)[None, :] - 2 * points @ centres.T).argmin(axis=1)
 
-    Centres are fitted on at most ``sample`` items of a scope, drawn by hash; every item is then assigned and measured against
-    all centres, so the rest of the work is spread over tasks.
+
+def kmeans_centres(vectors: DataFrame, scope: str, item: str, vector: str, k: int, rounds: int = 25, seed: int = 42, part: int = 20_000) -> DataFrame:
+    """(scope, cluster, centre): what ``kmeans`` finds on all rows of each scope, in rounds over all tasks.
+
+    Scopes are divided by hash into parts of about ``part`` rows; each part gives its farthest item, or its sums and counts by
+    cluster, and these are put together for the scope. A round is written before the next reads it.
     """
     kind = dict(vectors.dtypes)
-    drawn = vectors.withColumn("r", F.row_number().over(Window.partitionBy(scope).orderBy(F.xxhash64(item)))).filter(F.col("r") <= sample)
-
-    def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(item)
-        _, centres = kmeans(np.stack(rows[vector].to_numpy()).astype(float), k)
-        return pd.DataFrame({scope: rows[scope].iloc[0], "cluster": range(len(centres)), "centre": list(centres)})
-
-    centres = drawn.select(scope, item, vector).groupBy(scope).applyInPandas(fit, f"{scope} {kind[scope]}, cluster int, centre array<double>")
-    measured = vectors.select(scope, item, vector).join(centres, scope).select(scope, item, "cluster", distance(vector, "centre").alias("d"))
-    own = measured.groupBy(scope, item).agg(F.min(F.struct("d", "cluster")).alias("m"))
-    best = own.groupBy(scope, "m.cluster").agg(F.min(F.struct("m.d", item)).alias("b"), F.count(F.lit(1)).alias("size"))
-    return best.select(scope, "cluster", F.col(f"b.{item}").alias(item), F.col("b.d").alias("distance"), "size")
+    scratch = Scratch(vectors.sparkSession, "kmeans")
+    n = vectors.groupBy(scope).agg(F.count(F.lit(1)).alias("__n"))
+    parts = F.ceil(F.col("__n") / F.lit(part)).cast("long")
+    rows = vectors.select(scope, F.col(item).alias("__i"), F.col(vector).cast("array<double>").alias("__v")).join(n, scope)
+    rows = scratch.save(rows.withColumns({"__k": parts, "__p": F.pmod(F.xxhash64("__i"), parts)}), "rows")
+    sizes = rows.select(scope, "__n", "__k").distinct()
+
+    @F.pandas_udf("long")
+    def start(n: pd.Series) -> pd.Series:
+        return n.map(lambda x: int(np.random.default_rng(seed).integers(x)))
+
+    def met(step, centres: DataFrame, schema: str) -> DataFrame:
+        """What step(rows, centres) gives for each part of each scope."""
+        to_all = centres.join(sizes, scope).select(scope, F.explode(F.sequence(F.lit(0).cast("long"), F.col("__k") - 1)).alias("__p"), "cluster", "centre")
+
+        def of(own: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+            if not len(own) or not len(c):
+                return pd.DataFrame()
+            return step(own, np.stack(c.sort_values("cluster")["centre"].to_numpy()))
+
+        return rows.groupBy(scope, "__p").cogroup(to_all.groupBy(scope, "__p")).applyInPandas(of, f"{scope} {kind[scope]}, {schema}")
+
+    def farthest(own: pd.DataFrame, centres: np.ndarray) -> pd.DataFrame:
+        own = own.sort_values("__i")
+        points = np.stack(own["__v"].to_numpy())
+        gap = np.min([((points - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        at = gap.argmax()
+        return pd.DataFrame({scope: own[scope].iloc[:1].to_numpy(), "gap": gap[at : at + 1], "__i": own["__i"].iloc[at : at + 1].to_numpy(), "__v": [points[at]]})
+
+    def sums(own: pd.DataFrame, centres: np.ndarray) -> pd.DataFrame:
+        points = np.stack(own["__v"].to_numpy())
+        labels = _nearest_centre(points, centres)
+        found = np.unique(labels)
+        return pd.DataFrame({scope: own[scope].iloc[0], "cluster": found, "n": [int((labels == c).sum()) for c in found], "total": [points[labels == c].sum(axis=0) for c in found]})
+
+    place = F.row_number().over(Window.partitionBy(scope).orderBy("__i")) - 1
+    first = rows.select(scope, "__i", "__n").withColumn("r", place).filter(F.col("r") == start("__n")).select(scope, "__i")
+    centres = scratch.save(rows.join(first, [scope, "__i"]).groupBy(scope).agg(F.first("__v").alias("centre")).select(scope, F.lit(0).alias("cluster"), "centre"), "s0")
+    for j in range(1, k):
+        got = met(farthest, centres, f"gap double, __i {kind[item]}, __v array<double>").groupBy(scope).agg(F.min_by("__v", F.struct(-F.col("gap"), F.col("__i"))).alias("centre"))
+        more = got.join(sizes.filter(F.col("__n") > j), scope, "left_semi").select(scope, F.lit(j).alias("cluster"), "centre")
+        centres = scratch.save(centres.unionByName(more), f"s{j}")
+        scratch.drop(f"s{j - 1}")
+    for r in range(rounds):
+        got = met(sums, centres, "cluster int, n long, total array<double>")
+        total = got.select(scope, "cluster", "n", F.posexplode("total").alias("at", "x")).groupBy(scope, "cluster", "at").agg(F.sum("x").alias("x"), F.sum("n").alias("n"))
+        mean = total.groupBy(scope, "cluster").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", (F.col("x") / F.col("n")).alias("m")))), lambda x: x.m).alias("mean"))
+        moved = centres.join(mean, [scope, "cluster"], "left").withColumn("moved", F.coalesce(distance("mean", "centre"), F.lit(0.0)))
+        following = scratch.save(moved.select(scope, "cluster", F.coalesce("mean", "centre").alias("centre"), "moved"), f"r{r}")
+        scratch.drop(f"r{r - 1}" if r else f"s{k - 1}")
+        centres = following.drop("moved")
+        if not following.filter(F.col("moved") > 1e-12).head(1):
+            break
+    return centres
+
+
+def representatives(vectors: DataFrame, scope: str, item: str, vector: str, k: int, text: str | None = None, least_text: float = 60.0) -> DataFrame:
+    """(scope, cluster, item, distance, size): the item nearest to each centre of a k-means over all items of each scope.
+
+    With a text density, the densest item of a cluster stands for it instead if its density is above ``least_text`` and the
+    nearest one has less than half of it (null and NaN count as 0; of equal ones the first).
+    """
+    centres = kmeans_centres(vectors, scope, item, vector, k)
+    density = F.coalesce(F.nanvl(F.col(text).cast("double"), F.lit(None)), F.lit(0.0)) if text else F.lit(0.0)
+    measured = vectors.select(scope, item, vector, density.alias("t")).join(centres, scope).select(scope, item, "cluster", "t", distance(vector, "centre").alias("d"))
+    own = measured.groupBy(scope, item).agg(F.min(F.struct("d", "cluster", "t")).alias("m"))
+    best = own.groupBy(scope, "m.cluster").agg(F.min(F.struct("m.d", item, "m.t")).alias("b"), F.min(F.struct((-F.col("m.t")).alias("t"), F.col(item), F.col("m.d").alias("d"))).alias("x"), F.count(F.lit(1)).alias("size"))
+    over = (-F.col("x.t") > least_text) & (F.col("b.t") < -F.col("x.t") * 0.5)
+    pick = lambda c: F.when(over, F.col(f"x.{c}")).otherwise(F.col(f"b.{c}"))
+    return best.select(scope, "cluster", pick(item).alias(item), pick("d").alias("distance"), "size")
