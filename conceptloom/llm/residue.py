@@ -10,19 +10,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# --- Slots: one grammar for each kind of delimiter. NAME is an identifier of two characters or more.
-NAME = r"[A-Za-z_$@][\w.$-]*[\w]"
+# --- Slots: one grammar for each kind of delimiter. NAME is an identifier of two characters or more, in any script.
+NAME = r"(?:[^\W\d]|[$@])[\w.$\u0900-\u0963-]*[\w\u0900-\u0963]"
 SLOTS = {
     "double brace": rf"\{{\{{\{{?\s*[#/^&!>]?\s*{NAME}(?:[ |:][^{{}}\n]*)?\s*\}}?\}}\}}",
     "block tag": r"\{%-?\s*[A-Za-z][^%\n]*%\}",
     "server tag": rf"<%[=-]?\s*{NAME}[^%\n]*%>|<\?(?:php|=)?\s*(?:echo\s+)?\$?{NAME}[^?\n]*\?>",
     "dollar brace": rf"\$\{{{NAME}\}}|\{{\${NAME}\}}|#\{{{NAME}\}}",
     "brace": rf"(?<![\\\w{{}}$#%^]){{{NAME}}}(?![}}{{])",
-    "percent": r"(?<![\w%])(?:%%[A-Za-z_][\w.]*%%|%[A-Za-z_][\w.]*[A-Za-z_]%)(?![\w%])",
+    "percent": r"(?<![\w%])(?:%%[^\W\d][\w.]*%%|%[^\W\d][\w.]*[^\W\d]%)(?![\w%])",
     "at": rf"@@{NAME}@@",
     "colon": rf"(?<![\w:])::{NAME}::",
-    "underscore": r"(?<!\w)__[A-Za-z][\w.]*?[A-Za-z]__(?!\w)",
-    "angle": rf"<<{NAME}>>|<[A-Za-z_][\w.]*\w>",
+    "underscore": r"(?<!\w)__[^\W\d_][\w.]*?[^\W\d_]__(?!\w)",
+    "angle": rf"<<{NAME}>>|<[^\W\d][\w.]*\w>",
     "bracket name": r"\[\[?[A-Za-z_][\w.]*\w\]\]?",
     "order": r"(?i:\[\[?(?:[^\[\]\n]*\b)?(?:insert|your|placeholder|to add|to be \w+|tbd|tba|todo|fill in|here goes|einfügen|ausfüllen|ergänzen|à compléter|à remplir|insérer|insertar|completar|rellenar|inserir|preencher)(?:\b[^\[\]\n]*)?\]\]?|\[[^\[\]\n]{0,20}(?:待补|填写|插入|भरें|जोड़ें)[^\[\]\n]{0,20}\]|\((?:insert|enter your|einfügen|insérer|insertar|inserir):? [\w. ]{2,40}\))",
     "blank": r"\([^()\n]{3,60}\)_{3,}|(?m:^[\w ]{2,30}: ?_{4,}\s*$)",
@@ -46,6 +46,17 @@ _ABOUT = re.compile(
     r"we class|class them|protocol|when no|explains?|beginners?|compares?)\b|例如|模板|占位|उदाहरण"
 )
 
+# What speaks about slots: words of templating, and what goes with them when they explain; formulas have words and signs of their own.
+_TEMPLATING = re.compile(
+    r"(?i)\b(?:templates?|templating|placeholders?|slots?|syntax|delimiters?|printf|variables?|arguments?|compiler|programming|vorlagen?|platzhalters?|modèles?|plantillas?|modelos?|variablen?)\b|模板|占位|变量|टेम्पलेट"
+)
+_EXPLAINS = re.compile(
+    r"(?i)\b(?:such as|like|formats?|notation|denotes?|stands? for|means|marks?|written|is replaced|are replaced|is called|languages?|for example|for instance|e\.g|zum beispiel|beispielsweise|wie|ersetzt|par exemple|comme|remplacée?|por ejemplo|por exemplo|como|"
+    r"we class|class them|explains?|compares?)\b|例如|替换|उदाहरण"
+)
+_FORMULA = re.compile(r"(?i)\b(?:let [a-z](?= ?=)|notation|index|indices|interval|denotes?|sets?)\b(?=.*[=^\\∈≤≥+|])|[=^\\∈≤≥+|].*\b(?:notation|index|indices|interval|denotes?|sets?)\b")
+_QUOTED = "\"'“”„«»‘’「」"
+
 # --- Whole texts: cues of notices, errors and demands, in the languages of the corpus.
 _NOTICE = re.compile(
     r"(?i)coming soon|not (?:been|yet) (?:written|published|available)|under construction|to be (?:added|written|announced|completed|continued)|\btodo\b|write this section|content (?:is )?(?:pending|missing|to follow|will follow)|check back|no content|(?:section|page|lesson|unit) is (?:still )?empty|"
@@ -66,13 +77,14 @@ _SCRIPT = re.compile(
 )
 _NEUTRAL = re.compile(r"(?i)^\W*(?:home|courses|help|contact|menu|search|login)(?: \| \w+)*\W*$|^\W*\(?(?:unit|lab|ref|code|viewer build|build|lesson|id|no)\.? ?#?[\w-]*\)?\W*$|^[\W\d_]*$|^\S+/\d+$")
 _FILLER = re.compile(r"(?i)lorem ipsum|dolor sit amet|consectetur adipi|\btext goes here|\bblindtext\b|your (?:\w+ ){1,3}(?:goes )?here|\b(?:sample|dummy|placeholder|filler) (?:heading|text|title|caption)|caption here|heading level|\bblah\b|\b(?:x{2,} ?){3,}|asdf|qwert[yz]|hier steht text|texto de (?:ejemplo|exemplo|relleno)|texte? (?:factice|d['’]exemple)|占位(?:符|文字)|示例文字")
-#: Every cue holds one of these, in lower case; texts without any aren't looked at sentence by sentence.
+_RATE = re.compile(r"rate.?limit")
+#: Every cue holds one of these, or _RATE, in lower case; texts without any aren't looked at sentence by sentence.
 STEMS = (
-    "coming soon", "been written", "yet written", "not published", "not available", "not yet", "been published", "construction", "to be added", "to be written", "to be announced", "to be completed", "to be continued", "todo", "write this section", "content is", "content pending", "content missing", "content to follow", "content will", "check back", "no content", "is empty", "still empty",
+    "coming soon", "been written", "yet written", "not published", "not available", "not yet", "been published", "been available", "construction", "to be added", "to be written", "to be announced", "to be completed", "to be continued", "todo", "write this section", "content is", "content pending", "content missing", "content to follow", "content will", "check back", "no content", "is empty", "still empty",
     "noch leer", "inhalt folgt", "in kürze", "im aufbau", "in bearbeitung", "folgt demnächst", "contenido pendiente", "vuelva a visitar", "próximamente", "construcción", "aún no", "à venir", "bientôt", "pas encore", "contenu en attente", "em breve", "construção", "conteúdo pendente", "ainda não",
     "जल्द", "निर्माणाधीन", "अभी ", "建设中", "敬请期待", "即将", "待补充", "尚未", "内容待",
-    "not be ", "not load", "not connect", "not find", "not found", "not display", "not open", "not locat", "not reach", "not answer", "not render", "not process", "not establish", "n't be ", "n't load", "n't connect", "n't find", "n’t ", "cannot", "can not", "unable to", "failed to", "no longer", "been moved", "been removed", "been deleted", "was moved", "was removed", "was deleted", "maintenance", "unexpected", "empty rep", "empty response",
-    "time out", "timed out", "timeout", "denied", "permission", "expired", "sign in", "log in", "login", "too many requests", "rate limit", "rate-limit", "ratelimit", "retry after", "gateway", "bad request", "server error", "unavailable", "forbidden", "unauthori", "try again", "go back to the", "report this", "request id", "contact the", "traceback", "error", "exception", "fatal", "went wrong", "is gone", "oops", "http", "warning", "sorry", "loading", "please wait", "checking your",
+    "not be ", "not load", "not connect", "not f", "not display", "not open", "not locat", "not reach", "not answer", "not render", "not process", "not establish", "n't ", "n’t ", "cannot", "can not", "unable to", "failed to", "no longer", "been moved", "been removed", "been deleted", "was moved", "was removed", "was deleted", "maintenance", "unexpected", "empty rep", "empty response",
+    "time out", "timed out", "timedout", "timeout", "denied", "permission", "expired", "sign in", "signin", "log in", "login", "too many requests", "retry after", "gateway", "bad request", "server error", "unavailable", "forbidden", "unauthori", "try again", "go back to the", "report this", "request id", "contact the", "traceback", "file \"", "error", "exception", "fatal", "went wrong", "is gone", "oops", "http", "warning", "sorry", "loading", "please wait", "checking your",
     "nicht gefunden", "nicht verfügbar", "nicht mehr", "nicht geladen", "zugriff", "fehler", "später", "sitzung", "introuvable", "n'existe", "n’existe", "déplacé", "supprimé", "accès refusé", "erreur", "réessaye", "session", "algo salió", "no pudimos", "no se pudo", "no se encontr", "no existe", "no encontrada", "acceso denegado", "inténte", "código", "sesión", "algo deu", "algo correu", "não foi possível", "não encontrad", "não existe", "não conseguimos", "acesso negado", "tente ", "sessão", "erro ",
     "उपलब्ध नहीं", "त्रुटि", "फिर प्रयास", "नहीं मिला", "अनुमति नहीं", "लोड नहीं", "不存在", "被删除", "错误代码", "返回首页", "无法", "拒绝", "访问被拒", "稍后", "找不到", "出错", "已过期",
     "javascript", "java script", "script", "cookie", "js", "स्क्रिप्ट", "कुकी", "脚本",
@@ -96,12 +108,24 @@ def _plain(name: str) -> str:
     return re.sub(r"[^\w.]", "", name)
 
 
+def _discussed(line: str, slots: list[tuple[str, str]], with_code: bool) -> bool:
+    """Whether a sentence is about its slots: it has words of templating and further evidence (it explains, quotes them, has
+    several of those words, or stands in a text with code), quotes them to explain them, or is a formula of braces and brackets."""
+    rest = _SLOT.sub(" ", line)
+    words = {w.lower() for w in _TEMPLATING.findall(rest)}
+    quoted = all(line[max(0, i - 1) : i] in _QUOTED and line[i + len(s) : i + len(s) + 1] in _QUOTED for _, s in slots if (i := line.find(s)) > 0 and i + len(s) < len(line)) and any(0 < line.find(s) < len(line) - len(s) for _, s in slots)
+    explains = bool(_EXPLAINS.search(rest))
+    if words and (explains or quoted or with_code or len(words) > 1) or quoted and explains:
+        return True
+    return all(k in ("brace", "bracket name", "angle", "format") for k, _ in slots) and bool(_FORMULA.search(rest))
+
+
 def open_slots(text: str) -> list[tuple[str, str]]:
-    """(kind, slot) of the slots left open. Code is taken out; a slot in a sentence that is about slots, formats or formulas
+    """(kind, slot) of the slots left open. Code is taken out; a slot in a sentence that is about slots or formulas
     is discussed and not open, and neither are further ones of the same writing in that text."""
     if not _MAYBE_SLOT.search(text):
         return []
-    text = _CODE.sub(" ", text)
+    text, with_code = _CODE.subn(" ", text)
     kinds = list(SLOTS)
     found, discussed, alone = [], set(), Counter()
     for s in _SENTENCE.finditer(text):
@@ -119,7 +143,7 @@ def open_slots(text: str) -> list[tuple[str, str]]:
             if kind == "bracket name" and (name.lower() in NOTES or re.fullmatch(r"[A-Z][a-z]+\d{2,4}[a-z]?", name)):
                 continue
             slots.append((kind, slot, line.strip() == slot))
-        if slots and _ABOUT.search(_SLOT.sub(" ", line)):
+        if slots and _discussed(line, [x[:2] for x in slots], bool(with_code)):
             discussed.update(slot for _, slot, _ in slots)
         else:
             found += slots
@@ -127,6 +151,10 @@ def open_slots(text: str) -> list[tuple[str, str]]:
     return [(k, s) for k, s, by_itself in found if s not in discussed and not (k == "bracket name" and s.lower() == s and not re.search(r"[_.]", s) and not by_itself and alone[s] < 2 and len(found) < 2)]
 
 
+def may_hold_cue(low: str) -> bool:
+    return any(stem in low for stem in STEMS) or bool(_RATE.search(low))
+
+
 def whole_text_reason(text: str) -> str | None:
     """'filler', 'notice', 'error' or 'script demand' if the text as a whole is that, else None."""
     low = text.lower()
@@ -137,7 +165,7 @@ def whole_text_reason(text: str) -> str | None:
             return "filler"
         if n >= 2 * LEAST_WORDS and sum(w in FUNCTION_WORDS for w in words) <= COMMON * n and all("a" <= w[0] <= "z" and len(w) > 1 for w in words):
             return "filler"
-    if not any(stem in low for stem in STEMS):
+    if not may_hold_cue(low):
         return None
     held, size, other = Counter(), 0, 0
     for m in _SENTENCE.finditer(text):
