@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from conceptloom.adapters import hashed_embedding
 from conceptloom.config import DEFAULTS, EngineConfig
 from conceptloom.functions.text import strip_white, words
 from conceptloom.functions.vectors import dot
+from conceptloom.operators.clusters import change_boundaries
 from conceptloom.operators.ordered import running_counts, with_previous
+from conceptloom.runtime import Scratch
 
 
 def _chunk(seq: str, config: EngineConfig) -> Column:
@@ -48,12 +53,34 @@ def segments(units: DataFrame, config: EngineConfig = DEFAULTS) -> DataFrame:
     return capped_sessions(source_boundaries(units, config), ["chapter_id"], ["unit_seq", "unit_id"], F.col("boundary"), _chunk("unit_seq", config), config.segment_max_units)
 
 
-def segment_rollup(units: DataFrame, config: EngineConfig = DEFAULTS) -> DataFrame:
+def topic_segments(units: DataFrame, config: EngineConfig = DEFAULTS, vectors: DataFrame | None = None) -> DataFrame:
+    """Units with chapter_id, session, part as of ``segments``, but a session also ends where the context's vector is unlike the
+    one before, at change points of the vectors, and before units longer than segment_max_seconds.
+
+    Vectors are (unit_id, embedding), by default hashed words of the context ("no content" where it is empty).
+    """
+    order = ["unit_seq", "unit_id"]
+    rows = running_counts(source_boundaries(units, config), ["chapter_id"], order, _chunk("unit_seq", config)).withColumnRenamed("n", "place").drop("flags", "since")
+    scratch = Scratch(units.sparkSession, "segments")
+    rows = scratch.save(rows, "rows")
+    if vectors is None:
+        vectors = merged_context(rows).select("unit_id", hashed_embedding(F.coalesce(F.nullif("context", F.lit("")), F.lit("no content"))).alias("embedding"))
+    placed = scratch.save(rows.select("chapter_id", "unit_id", "place").join(vectors.select("unit_id", "embedding").dropDuplicates(["unit_id"]), "unit_id").select("chapter_id", "place", "embedding"), "vectors")
+    unlike = similarity_boundaries(placed, "chapter_id", "place", "embedding", config.similarity_boundary).select("chapter_id", "place")
+    topic = unlike.unionByName(change_boundaries(placed, "chapter_id", "place", "embedding")).distinct().withColumn("topic", F.lit(True))
+    long = duration_boundaries(rows, config).distinct().withColumn("long", F.lit(True))
+    rows = rows.join(topic, ["chapter_id", "place"], "left").join(long, "unit_id", "left")
+    boundary = (F.col("place") > 0) & (F.col("boundary") | F.coalesce("topic", "long", F.lit(False)))
+    rows = rows.withColumn("boundary", boundary).drop("topic", "long", "place")
+    return capped_sessions(rows, ["chapter_id"], order, F.col("boundary"), _chunk("unit_seq", config), config.segment_max_units)
+
+
+def segment_rollup(units: DataFrame, config: EngineConfig = DEFAULTS, by: Callable[..., DataFrame] = segments) -> DataFrame:
     """One row per segment: span, count, ordered distinct sources and types, and the contexts in order.
 
     A segment has at most segment_max_units units, so the collected lists are bounded.
     """
-    rows = segments(units, config).withColumn("context", strip_white(F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in ("raw_text", "visual_caption", "ocr_text")])))
+    rows = by(units, config).withColumn("context", strip_white(F.concat_ws(" ", *[F.nullif(F.col(c), F.lit("")) for c in ("raw_text", "visual_caption", "ocr_text")])))
     inorder = F.array_sort(F.collect_list(F.struct("unit_seq", "unit_id", "source_path", "source_type", "context")))
     grouped = rows.groupBy("chapter_id", "session", "part").agg(
         F.min("span_start").alias("span_start"), F.max("span_end").alias("span_end"), F.count(F.lit(1)).alias("unit_count"), inorder.alias("u")

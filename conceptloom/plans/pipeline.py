@@ -164,6 +164,21 @@ def segment_rollup(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+# Segments by all boundaries; the two queries above keep to their SQL, which knows sources alone.
+
+
+@query
+def topic_sessions(s: SparkSession, d: str) -> DataFrame:
+    return segments.topic_segments(_units(s, d)).select("unit_id", "session", "part")
+
+
+@query
+def topic_rollup(s: SparkSession, d: str) -> DataFrame:
+    return segments.segment_rollup(_units(s, d), by=segments.topic_segments).select(
+        "chapter_id", "session", "part", "span_start", "span_end", "unit_count", F.md5("unit_ids").alias("ids_md5"), "source_types", F.md5("source_paths").alias("paths_md5"), F.md5("merged_text").alias("text_md5")
+    )
+
+
 @query
 def split_long_units(s: SparkSession, d: str) -> DataFrame:
     units = _units(s, d).dropDuplicates(["unit_id"]).select("unit_id", "span_start", "span_end", F.coalesce("raw_text", F.lit("")).alias("text"))
