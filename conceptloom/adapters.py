@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from conceptloom.functions.text import think_stripped
+
 Adapter = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
 
@@ -40,9 +42,10 @@ def pending(rows: DataFrame, replies: DataFrame, key: str) -> DataFrame:
 
 
 def decided(clusters: DataFrame, replies: DataFrame, key: str) -> DataFrame:
-    """(key, merge): yes or no of a decider for each cluster; a missing or unreadable reply keeps it."""
-    said = F.lower(F.trim(F.coalesce("reply", F.lit("yes"))))
-    return recorded(clusters.select(key).distinct(), replies, key).select(key, (~F.startswith(said, F.lit("no"))).alias("merge"))
+    """(key, merge): yes or no of a decider for each cluster, without its <think> block; a missing or unreadable reply, like
+    anything that doesn't begin with yes, keeps the members apart."""
+    said = F.lower(think_stripped(F.coalesce("reply", F.lit(""))))
+    return recorded(clusters.select(key).distinct(), replies, key).select(key, F.startswith(said, F.lit("yes")).alias("merge"))
 
 
 def hashed_embedding(text: Column, size: int = 64) -> Column:

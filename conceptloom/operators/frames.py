@@ -40,14 +40,22 @@ def densest_frames(frames: DataFrame, most: int) -> DataFrame:
     return rows.withColumn("place", rank).filter(F.col("place") <= most).select("video_path", "frame_path", "place")
 
 
-def frames_by_unit(frames: DataFrame, most: int) -> DataFrame:
-    """(unit_id, n, paths): paths of each unit's frames by time, the selected copy before the original, at most ``most`` listed."""
+def frames_by_unit(frames: DataFrame) -> DataFrame:
+    """(unit_id, n, paths): paths of each unit's frames by time (null last), the selected copy before the original, all of them.
+
+    The list of a unit is its value, so its size is that of the unit's frames; rows without a unit are left out.
+    """
     path = F.coalesce(F.nullif("selected_frame_path", F.lit("")), F.col("frame_path"))
-    rows = frames.filter(F.coalesce("unit_id", F.lit("")) != "").dropDuplicates(["frame_path"]).select("unit_id", "timestamp_sec", "frame_path", path.alias("path"))
-    n = rows.groupBy("unit_id").agg(F.count(F.lit(1)).alias("n"))
-    rank = F.row_number().over(Window.partitionBy("unit_id").orderBy(F.asc_nulls_last("timestamp_sec"), "frame_path"))
-    first = rows.withColumn("r", rank).filter(F.col("r") <= most).groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("r", "path"))).alias("l"))
-    return n.join(first, "unit_id").select("unit_id", "n", F.array_join(F.transform("l", lambda x: x.path), ",").alias("paths"))
+    rows = frames.filter(F.coalesce("unit_id", F.lit("")) != "").dropDuplicates(["frame_path"])
+    listed = F.array_sort(F.collect_list(F.struct(F.col("timestamp_sec").isNull().alias("untimed"), "timestamp_sec", "frame_path", path.alias("path"))))
+    return rows.groupBy("unit_id").agg(F.count(F.lit(1)).alias("n"), listed.alias("l")).select("unit_id", "n", F.array_join(F.transform("l", lambda x: x.path), ",").alias("paths"))
+
+
+def with_unit_ids(frames: DataFrame, units: DataFrame) -> DataFrame:
+    """Frames with the id of the first unit (by unit_seq) of their video; a video without units gives an empty id. What the
+    frames had as unit_id is replaced."""
+    first = units.filter("source_type = 'video'").groupBy(F.col("source_path").alias("video_path")).agg(F.min_by("unit_id", F.struct("unit_seq", "unit_id")).alias("__unit"))
+    return frames.drop("unit_id").join(first, "video_path", "left").withColumn("unit_id", F.coalesce("__unit", F.lit(""))).drop("__unit")
 
 
 def keep_first(vectors: DataFrame, scope: str, seq: str, vector: str, threshold: float) -> DataFrame:

@@ -162,14 +162,19 @@ def aligned_keyframes(segs: DataFrame, frames: DataFrame, most: int = DEFAULTS.k
     return met.groupBy("segment_id").agg(F.count(F.lit(1)).alias("n_frames")).join(listed, "segment_id")
 
 
-def with_captions(units: DataFrame, captions: DataFrame, most: int = 2 * DEFAULTS.keyframes) -> DataFrame:
-    """(unit_id, visual_caption): a unit's new captions (unit_id, place, caption) in order, one a line, the first ``most`` of them;
-    without any the old caption, or an empty one."""
-    rank = F.row_number().over(Window.partitionBy("unit_id").orderBy("place", "caption"))
-    first = captions.filter(F.coalesce("caption", F.lit("")) != "").select("unit_id", "place", "caption").withColumn("r", rank).filter(F.col("r") <= most)
-    joined = first.groupBy("unit_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "caption"))), lambda x: x.caption), "\n").alias("new"))
-    old = units.dropDuplicates(["unit_id"]).select("unit_id", F.coalesce("visual_caption", F.lit("")).alias("old"))
-    return old.join(joined, "unit_id", "left").select("unit_id", F.coalesce("new", "old").alias("visual_caption"))
+def with_captions(units: DataFrame, captions: DataFrame, frames: DataFrame | None = None) -> DataFrame:
+    """(unit_id, visual_caption): a unit's new captions (unit_id, place, caption) in order, one a line, all of them; without any
+    the old caption, or an empty one. With frames (unit_id, n, paths) also keyframes: the paths of a video unit's frames,
+    without any, and for other units, those that it had. The text of a unit is its value and as large as its captions.
+    """
+    listed = captions.filter(F.coalesce("caption", F.lit("")) != "").groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("place", "caption"))).alias("c"))
+    joined = listed.select("unit_id", F.array_join(F.transform("c", lambda x: x.caption), "\n").alias("new"))
+    out = units.dropDuplicates(["unit_id"]).join(joined, "unit_id", "left")
+    caption = F.coalesce("new", "visual_caption", F.lit("")).alias("visual_caption")
+    if frames is None:
+        return out.select("unit_id", caption)
+    own = F.when(F.col("source_type") == "video", F.col("paths"))
+    return out.join(frames.select("unit_id", "paths"), "unit_id", "left").select("unit_id", caption, F.coalesce(own, F.array_join("keyframe_paths", ","), F.lit("")).alias("keyframes"))
 
 
 def whole_sentences(df: DataFrame, key: str, text: str, most: int) -> DataFrame:

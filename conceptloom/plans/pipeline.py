@@ -92,7 +92,8 @@ def sentence_chunks(s: SparkSession, d: str) -> DataFrame:
 @query
 def caption_join(s: SparkSession, d: str) -> DataFrame:
     made = _frames(s, d).dropDuplicates(["frame_path"]).select("unit_id", F.col("frame_num").alias("place"), F.concat(F.lit("frame "), F.regexp_extract("frame_path", "([^/]*)$", 1)).alias("caption"))
-    return segments.with_captions(_units(s, d), made).select("unit_id", F.md5("visual_caption").alias("caption_md5"))
+    got = segments.with_captions(_units(s, d), made, frames.frames_by_unit(_frames(s, d)))
+    return got.select("unit_id", F.md5("visual_caption").alias("caption_md5"), F.md5("keyframes").alias("keyframes_md5"))
 
 
 @query
@@ -139,7 +140,12 @@ def topk_cap(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def unit_frames(s: SparkSession, d: str) -> DataFrame:
-    return frames.frames_by_unit(_frames(s, d), 10)
+    return frames.frames_by_unit(_frames(s, d))
+
+
+@query
+def frame_units(s: SparkSession, d: str) -> DataFrame:
+    return frames.with_unit_ids(_frames(s, d).dropDuplicates(["frame_path"]), _units(s, d)).select("frame_path", "unit_id")
 
 
 @query

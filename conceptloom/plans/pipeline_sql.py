@@ -154,8 +154,12 @@ SQL = {
 SELECT doc_id, md5(coalesce({strip("t")}, substr(text, 1, 240))) AS chunk_md5 FROM documents LEFT JOIN c USING (doc_id)""",
     "caption_join": f"""WITH {UNITS}, {FRAMES}, r AS (
   SELECT unit_id, 'frame ' || regexp_extract(frame_path, '([^/]*)$', 1) AS c, row_number() OVER (PARTITION BY unit_id ORDER BY frame_num NULLS FIRST, 'frame ' || regexp_extract(frame_path, '([^/]*)$', 1)) AS r FROM frames
-), j AS (SELECT unit_id, string_agg(c, chr(10) ORDER BY r) AS new FROM r WHERE r <= 20 GROUP BY 1)
-SELECT unit_id, md5(coalesce(new, visual_caption, '')) AS caption_md5 FROM units LEFT JOIN j USING (unit_id)""",
+), j AS (SELECT unit_id, string_agg(c, chr(10) ORDER BY r) AS new FROM r GROUP BY 1),
+k AS (SELECT unit_id, string_agg(coalesce(nullif(selected_frame_path, ''), frame_path), ',' ORDER BY timestamp_sec NULLS LAST, frame_path) AS paths FROM frames WHERE coalesce(unit_id, '') <> '' GROUP BY 1)
+SELECT unit_id, md5(coalesce(new, visual_caption, '')) AS caption_md5, md5(coalesce(CASE WHEN source_type = 'video' THEN paths END, array_to_string(keyframe_paths, ','), '')) AS keyframes_md5
+FROM units LEFT JOIN j USING (unit_id) LEFT JOIN k USING (unit_id)""",
+    "frame_units": f"""WITH {UNITS}, {FRAMES}, first_units AS (SELECT source_path, first(unit_id ORDER BY unit_seq, unit_id) AS u FROM units WHERE source_type = 'video' GROUP BY 1)
+SELECT frame_path, coalesce(u, '') AS unit_id FROM frames LEFT JOIN first_units ON source_path = video_path""",
     "modality_coverage": "SELECT chapter_id, count(DISTINCT source_type) AS n_types, count(DISTINCT source_path) AS n_sources, count(DISTINCT unit_id) AS n_units FROM stage3_transcripts GROUP BY 1",
     "transcript_overlap": f"""WITH {UNITS}, {SEGS}, spans AS (SELECT segment_id, span_start, span_end, unnest(list_distinct(source_paths)) AS p FROM segs)
 SELECT s.segment_id, count(*) AS n_cues, min(u.unit_id) AS first_id FROM spans s JOIN units u ON u.source_path = s.p AND u.source_type = 'video'
@@ -171,7 +175,7 @@ SELECT frame_path, number, number / 2.0 AS at FROM n""",
 SELECT * FROM r WHERE place <= 10""",
     "unit_frames": f"""WITH {FRAMES}, r AS (
   SELECT unit_id, coalesce(nullif(selected_frame_path, ''), frame_path) AS path, row_number() OVER (PARTITION BY unit_id ORDER BY timestamp_sec NULLS LAST, frame_path) AS r FROM frames WHERE coalesce(unit_id, '') <> ''
-) SELECT unit_id, count(*) AS n, string_agg(path, ',' ORDER BY r) FILTER (r <= 10) AS paths FROM r GROUP BY 1""",
+) SELECT unit_id, count(*) AS n, string_agg(path, ',' ORDER BY r) AS paths FROM r GROUP BY 1""",
     "boundary_source": _SESSIONS + "SELECT unit_id FROM flagged WHERE boundary",
     "boundary_cosine": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, lag(CAST(embedding AS DOUBLE[])) OVER (PARTITION BY label ORDER BY vec_id) AS p FROM embeddings)
 SELECT vec_id, round(list_inner_product(p, e), 6) AS similarity FROM v WHERE p IS NOT NULL AND list_inner_product(p, e) < 0""",

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from conceptloom.config import EXTENSIONS
 from conceptloom.functions.text import path_name, path_stem, path_suffix, strip_white
+from conceptloom.operators.ordered import running_counts
+from conceptloom.runtime import Scratch
 
 UNIT = (
     "unit_id string, source_path string, source_type string, video_subtype string, chapter_id string, span_start double, span_end double, "
@@ -72,12 +74,11 @@ def text_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
 
 
 def numbered(rows: DataFrame, order: str) -> DataFrame:
-    """n along the order, in parallel: numbers within range partitions plus the sizes of those before."""
-    spread = rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("__p", F.spark_partition_id())
-    local = spread.withColumn("__i", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("long"), 33))
-    sizes = local.groupBy("__p").agg(F.max("__i").alias("m"))
-    before = sizes.select("__p", F.coalesce(F.sum(F.col("m") + 1).over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("b"))
-    return local.join(F.broadcast(before), "__p").withColumn("n", F.col("__i") + F.col("b")).drop("__p", "__i", "b")
+    """n along the order (total; null first), in parallel: rows are spread by range, and the range that each row came to is
+    written down once; what is counted afterwards depends on the written numbers alone, never on how a later plan is cut."""
+    spread = rows.repartitionByRange(F.col(order).asc_nulls_first()).withColumn("__p", F.spark_partition_id().cast("long"))
+    saved = Scratch(rows.sparkSession, "numbered").save(spread, "ranges")
+    return running_counts(saved.withColumn("__q", F.lit(0)), ["__q"], ["__p", order], F.col("__p")).drop("__p", "__q", "flags", "since")
 
 
 _CUE = r"(?s)(?:(\d+):)?(\d+):(\d+)[.,](\d+)\s*-->\s*(?:(\d+):)?(\d+):(\d+)[.,](\d+)[^\n]*\n(.*)"
@@ -121,10 +122,12 @@ def transcript_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
 
 
 def unknown_json_units(spark: SparkSession, path: str, chapter: str, most: int = 4000) -> DataFrame:
-    """JSON of an unknown shape: one unit with the document's first characters; unparsable documents give '[]'."""
+    """JSON of an unknown shape: one unit with the document's first characters, its span the number of its items (an object
+    is one item); unparsable documents give '[]' and no items."""
     rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     whole = F.coalesce(F.to_json(F.try_variant_get(F.try_parse_json("text"), "$", "variant")), F.lit("[]"))
-    return _unit(rows, "json", chapter, F.lit(0), F.lit(0), F.substring(whole, 1, most), F.lit(0))
+    items = F.coalesce(F.json_array_length(whole), F.when(whole != "[]", 1), F.lit(0))
+    return _unit(rows, "json", chapter, F.lit(0), items, F.substring(whole, 1, most), F.lit(0))
 
 
 def media_units(listed: DataFrame, kind: str, chapter: str) -> DataFrame:

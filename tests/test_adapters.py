@@ -21,8 +21,9 @@ def test_call_outs(spark):
     assert {r.id: r.reply for r in replies.collect()} == {1: "A", 2: "B"}
     assert [r.id for r in adapters.pending(rows, replies.filter("id = 1"), "id").collect()] == [2]
     assert {r.id: r.reply for r in adapters.recorded(rows, replies.filter("id = 1"), "id").collect()} == {1: "A", 2: None}
-    said = spark.createDataFrame([(1, " No, they differ")], "id int, reply string")
-    assert {r.id: r.merge for r in adapters.decided(rows, said, "id").collect()} == {1: False, 2: True}
+    asked = spark.createDataFrame([(1,), (2,), (3,), (4,)], "id int")
+    said = spark.createDataFrame([(1, " No, they differ"), (2, "<think>no\n</think> YES."), (3, "maybe")], "id int, reply string")
+    assert {r.id: r.merge for r in adapters.decided(asked, said, "id").collect()} == {1: False, 2: True, 3: False, 4: False}
 
 
 def test_hashed_embedding(spark):
@@ -44,6 +45,11 @@ def test_captions_and_sentences(spark):
     units = spark.createDataFrame([("u", "old"), ("v", "old"), ("w", None)], "unit_id string, visual_caption string")
     caps = spark.createDataFrame([("u", 2, "b"), ("u", 1, "a"), ("v", 1, ""), ("v", 2, None)], "unit_id string, place int, caption string")
     assert {r.unit_id: r.visual_caption for r in segments.with_captions(units, caps).collect()} == {"u": "a\nb", "v": "old", "w": ""}
+    units = spark.createDataFrame([("u", "video", "", ["k"]), ("v", "video", "", ["k"]), ("w", "pdf", "", ["k"]), ("x", "text", "", None)], "unit_id string, source_type string, visual_caption string, keyframe_paths array<string>")
+    paths = spark.createDataFrame([("u", 2, "a,b"), ("w", 1, "c")], "unit_id string, n int, paths string")
+    many = spark.createDataFrame([("u", i, f"c{i:02}") for i in range(50)], "unit_id string, place int, caption string")
+    got = {r.unit_id: (r.visual_caption, r.keyframes) for r in segments.with_captions(units, many, paths).collect()}
+    assert got == {"u": ("\n".join(f"c{i:02}" for i in range(50)), "a,b"), "v": ("", "k"), "w": ("", "k"), "x": ("", "")}
     df = spark.createDataFrame([(1, "One two. Three four! Five six seven"), (2, "a " * 50), (3, ""), (4, None)], "k int, t string")
     got = {r.k: r.chunk for r in segments.whole_sentences(df, "k", "t", 5).collect()}
     assert got == {1: "One two. Three four!", 2: ("a " * 50)[:30], 3: "", 4: None}

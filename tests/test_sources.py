@@ -24,6 +24,12 @@ def test_text_units_count_blank_files(spark, tmp_path):
     assert again == {r.unit_id for r in got.collect()}
 
 
+def test_numbers_follow_the_order(spark):
+    rows = spark.createDataFrame([(f"p{i:04}",) for i in range(999, -1, -1)] + [(None,)], "path string").repartition(7)
+    got = [(r.path, r.n) for r in readers.numbered(rows, "path").collect()]
+    assert dict(got) == {None: 0} | {f"p{i:04}": i + 1 for i in range(1000)} and len(got) == 1001
+
+
 def test_cues(spark, tmp_path):
     (tmp_path / "v.srt").write_text("1\r\n00:00:01,500 --> 00:00:02,000\r\nHello\r\nyou\r\n\r\n2\r\n01:00:00,000 --> 01:00:01,250\r\n \r\n\r\nWEBVTT\n\n00:05.000 --> 00:06.000\nEnd\n")
     got = [(r.span_start, r.span_end, r.raw_text) for r in readers.cue_units(spark, str(tmp_path / "v.srt"), "c").orderBy("unit_seq").collect()]
@@ -37,7 +43,11 @@ def test_json_sources(spark, tmp_path):
     (tmp_path / "t.json").write_text(json.dumps({"segments": [{"start": 1, "end": 2, "text": "hi"}]}))
     assert readers.transcript_units(spark, str(tmp_path / "t.json"), "c").first().span_end == 2.0
     (tmp_path / "u.json").write_text("{broken")
-    assert readers.unknown_json_units(spark, str(tmp_path / "u.json"), "c").first().raw_text == "[]"
+    broken = readers.unknown_json_units(spark, str(tmp_path / "u.json"), "c").first()
+    assert (broken.raw_text, broken.span_end) == ("[]", 0.0)
+    (tmp_path / "v.json").write_text('[{"a": 1}, 2, "x"]')
+    (tmp_path / "w.json").write_text('{"a": [1, 2]}')
+    assert [readers.unknown_json_units(spark, str(tmp_path / n), "c").first().span_end for n in ("v.json", "w.json")] == [3.0, 1.0]
 
 
 def test_folder_listing_and_siblings(spark, tmp_path):
@@ -57,13 +67,18 @@ def test_page_chunks(spark):
 
 
 def test_sinks(spark, tmp_path):
-    sinks.write_document(spark, str(tmp_path / "d.json"), {"a": "é"})
+    for value in ({"a": 1, "b": "old"}, {"a": "é"}):
+        sinks.write_document(spark, str(tmp_path / "d.json"), value)
+    assert [p.name for p in tmp_path.iterdir() if "tmp" in p.name] == []
     assert json.loads((tmp_path / "d.json").read_text()) == {"a": "é"}
     made = []
     make = lambda: made.append(1) or spark.range(3)
     for _ in range(2):
         assert sinks.materialised(spark, str(tmp_path / "t"), make).count() == 3
     assert made == [1] and sinks.stage_key(EngineConfig(), "a") != sinks.stage_key(EngineConfig(merge_similarity=0.5), "a")
+    for key in ("k1", "k2", "k1"):
+        sinks.materialised(spark, str(tmp_path / "keyed"), make, key)
+    assert len(made) == 3
     for n in (2, 5):
         out = sinks.append_pending(spark.range(n), "id", str(tmp_path / "p"), lambda df: df.withColumn("x", F.lit(1)))
     assert out.count() == 5
@@ -78,6 +93,10 @@ def test_graph_files(spark, tmp_path):
     text = "".join(p.read_text() for p in sorted((tmp_path / "g").glob("part-*")))
     assert len(xml.dom.minidom.parseString(text).getElementsByTagName("node")) == 3
     assert sinks.write_view(nodes, edges, str(tmp_path / "v.html"), "t") and not sinks.write_view(nodes.limit(2), edges, str(tmp_path / "w.html"), "t")
+    page = (tmp_path / "v.html").read_text()
+    assert '"source": "a<"' in page and "svg" in page
+    many = spark.range(50).selectExpr("'a<' as source", "'b' as target", "'x' as type")
+    assert not sinks.write_view(nodes, many, str(tmp_path / "x.html"), "t", most=2) and not sinks.write_view(nodes.limit(3), many, str(tmp_path / "x.html"), "t", most=3 - 1)
     assert graph.induced(nodes.filter("id <> 'b'"), edges).count() == 0
 
 
