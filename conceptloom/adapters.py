@@ -6,7 +6,7 @@ replies can stand in for one. Without either a call-out is refused, never faked.
 
 from __future__ import annotations
 
-import zlib
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,16 +49,23 @@ def decided(clusters: DataFrame, replies: DataFrame, key: str) -> DataFrame:
 
 
 def hashed_embedding(text: Column, size: int = 64) -> Column:
-    """A unit vector of hashed words, the default where no embedder is supplied; a text without words gives zeros."""
+    """A unit vector of hashed words, the default where no embedder is supplied; a text without words gives zeros.
+
+    A word counts at place h mod size, where h are the first 32 bits of its MD5; up if h's highest bit is set, else down.
+    """
 
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def embed(texts: pd.Series) -> pd.Series:
-        out = np.zeros((len(texts), size), dtype=np.float32)
+        out = np.zeros((len(texts), size))
+        known: dict[str, tuple[int, float]] = {}
         for i, text in enumerate(texts):
             for w in (text or "").lower().split():
-                h = zlib.crc32(w.encode())
-                out[i, h % size] += 1.0 if h & 0x80000000 else -1.0
+                if w not in known:
+                    h = int.from_bytes(hashlib.md5(w.encode("utf-8", "replace")).digest()[:4], "big")
+                    known[w] = h % size, 1.0 if h & 0x80000000 else -1.0
+                at, sign = known[w]
+                out[i, at] += sign
         n = np.linalg.norm(out, axis=1, keepdims=True)
-        return pd.Series(list(out / np.where(n > 0, n, 1)))
+        return pd.Series(list((out / np.where(n > 0, n, 1)).astype(np.float32)))
 
     return embed(text)

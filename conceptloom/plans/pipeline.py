@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import replace
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from conceptloom.config import DOMAINS
+from conceptloom.config import DEFAULTS, DOMAINS
 from conceptloom.functions.text import digits_clamped, name_form, normal_name, think_stripped
-from conceptloom.adapters import hashed_embedding
+from conceptloom.adapters import hashed_embedding, pending
 from conceptloom.operators import clusters, extract, frames, graph, ordered, pairs, prereqs, resolve, segments, topics
 from conceptloom.runtime import Scratch, table
 from conceptloom.sources import readers
@@ -98,7 +100,10 @@ def caption_join(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def text_embeddings(s: SparkSession, d: str) -> DataFrame:
-    return _units(s, d).select("unit_id", hashed_embedding(F.col("raw_text")).alias("embedding"))
+    """The default embedder's vectors: the places that aren't 0, with sign and rank of the size among the unit's."""
+    rows = _units(s, d).dropDuplicates(["unit_id"]).select("unit_id", F.posexplode(hashed_embedding(F.col("raw_text"))).alias("place", "value"))
+    size = F.dense_rank().over(Window.partitionBy("unit_id").orderBy(F.abs("value")))  # at most 64 rows to a unit
+    return rows.filter("value <> 0").select("unit_id", F.col("place").cast("long").alias("place"), (F.col("value") > 0).alias("up"), size.cast("long").alias("size"))
 
 
 @query
@@ -114,7 +119,15 @@ def transcript_overlap(s: SparkSession, d: str) -> DataFrame:
     spans = _segs(s, d).dropDuplicates(["segment_id"]).select(F.col("segment_id").alias("id"), F.explode(F.array_distinct("source_paths")).alias("entity"), F.col("span_start").alias("start"), F.col("span_end").alias("stop"))
     cues = _units(s, d).filter("source_type = 'video'").dropDuplicates(["unit_id"]).select("unit_id", F.col("source_path").alias("entity"), F.col("span_start").alias("start"), F.col("span_end").alias("stop"))
     met = segments.overlapping(spans, cues)
-    return met.groupBy(F.col("s.id").alias("segment_id")).agg(F.count(F.lit(1)).alias("n_cues"), F.min("c.unit_id").alias("first_id"))
+    return met.groupBy(F.col("id").alias("segment_id")).agg(F.count(F.lit(1)).alias("n_cues"), F.min("unit_id").alias("first_id"))
+
+
+@query
+def transcript_fallback(s: SparkSession, d: str) -> DataFrame:
+    """Texts of the cues that meet each segment's span, else of the whole source."""
+    spans = _segs(s, d).dropDuplicates(["segment_id"]).select(F.col("segment_id").alias("unit_id"), F.col("source_paths")[0].alias("entity"), F.col("span_start").alias("start"), F.col("span_end").alias("stop"))
+    cues = _units(s, d).filter("source_type = 'video'").dropDuplicates(["unit_id"]).select(F.col("source_path").alias("entity"), F.col("span_start").alias("start"), F.col("span_end").alias("stop"), F.struct("unit_seq", "unit_id").alias("place"), F.coalesce("raw_text", F.lit("")).alias("text"))
+    return segments.transcript_texts(spans, cues).select(F.col("unit_id").alias("segment_id"), F.md5("text").alias("text_md5"))
 
 
 @query
@@ -158,6 +171,16 @@ def boundary_cosine(s: SparkSession, d: str) -> DataFrame:
     return segments.similarity_boundaries(_vectors(s, d), "label", "vec_id", "embedding", 0.0).select("vec_id", F.round("similarity", 6).alias("similarity"))
 
 
+@query
+def boundary_duration(s: SparkSession, d: str) -> DataFrame:
+    return segments.duration_boundaries(_units(s, d), replace(DEFAULTS, segment_max_seconds=4.0)).distinct()
+
+
+@query
+def boundary_union(s: SparkSession, d: str) -> DataFrame:
+    return segments.all_boundaries(_units(s, d)).filter("boundary").select("unit_id")
+
+
 @query
 def sessionize_capped(s: SparkSession, d: str) -> DataFrame:
     return segments.segments(_units(s, d)).select("unit_id", "session", "part")
@@ -166,11 +189,11 @@ def sessionize_capped(s: SparkSession, d: str) -> DataFrame:
 @query
 def segment_rollup(s: SparkSession, d: str) -> DataFrame:
     return segments.segment_rollup(_units(s, d)).select(
-        "chapter_id", "session", "part", "span_start", "span_end", "unit_count", F.md5("unit_ids").alias("ids_md5"), "source_types", F.md5("source_paths").alias("paths_md5"), F.md5("merged_text").alias("text_md5")
+        "chapter_id", "session", "part", "span_start", "span_end", "unit_count", F.md5("unit_ids").alias("ids_md5"), "source_types", F.md5("source_paths").alias("paths_md5"), F.md5("merged_text").alias("text_md5"), "keyframes"
     )
 
 
-# Segments by all boundaries; the two queries above keep to their SQL, which knows sources alone.
+# With change points as well, which SQL can't say.
 
 
 @query
@@ -181,7 +204,7 @@ def topic_sessions(s: SparkSession, d: str) -> DataFrame:
 @query
 def topic_rollup(s: SparkSession, d: str) -> DataFrame:
     return segments.segment_rollup(_units(s, d), by=segments.topic_segments).select(
-        "chapter_id", "session", "part", "span_start", "span_end", "unit_count", F.md5("unit_ids").alias("ids_md5"), "source_types", F.md5("source_paths").alias("paths_md5"), F.md5("merged_text").alias("text_md5")
+        "chapter_id", "session", "part", "span_start", "span_end", "unit_count", F.md5("unit_ids").alias("ids_md5"), "source_types", F.md5("source_paths").alias("paths_md5"), F.md5("merged_text").alias("text_md5"), "keyframes"
     )
 
 
@@ -196,9 +219,15 @@ def validate_segments(s: SparkSession, d: str) -> DataFrame:
     return segments.valid_segments(_segs(s, d))
 
 
+@query
+def segment_domains(s: SparkSession, d: str) -> DataFrame:
+    return segments.with_domains(_segs(s, d).dropDuplicates(["segment_id"]), "segment_id", "merged_text", segments.domain_seeds(s, {x: x for x in DOMAINS}))
+
+
 @query
 def pending_antijoin(s: SparkSession, d: str) -> DataFrame:
-    return _segs(s, d).select("segment_id").distinct().join(_raw(s, d).select("segment_id"), "segment_id", "left_anti")
+    """Units that no frame was taken for: what a frame stage has still to do."""
+    return pending(_units(s, d).select("unit_id").distinct(), _frames(s, d).filter("unit_id <> ''"), "unit_id")
 
 
 # Parsers

@@ -32,10 +32,26 @@ RELS = f"rels AS (SELECT DISTINCT ON (relation_id) *, {name('source_name')} AS s
 CANON = "canon AS (SELECT DISTINCT ON (concept_id) * FROM stage7_canonical_concepts)"
 CONTEXT = strip("concat_ws(' ', nullif(raw_text, ''), nullif(visual_caption, ''), nullif(ocr_text, ''))")
 
+
+
+def embedded(rows: str, key: str, text: str, name: str) -> str:
+    """Places of the default embedder's vectors that aren't 0: (key, place, v), from the words' MD5."""
+    return f"""
+{name}_words AS (SELECT {key}, unnest({words(f"lower({text})")}) AS w FROM {rows}),
+{name}_hashes AS (SELECT {key}, CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) AS h FROM {name}_words),
+{name}_sums AS (SELECT {key}, h % 64 AS place, CAST(sum(CASE WHEN h >= 2147483648 THEN 1 ELSE -1 END) AS DOUBLE) AS v FROM {name}_hashes GROUP BY ALL HAVING sum(CASE WHEN h >= 2147483648 THEN 1 ELSE -1 END) <> 0),
+{name} AS (SELECT {key}, place, v / sqrt(sum(v * v) OVER (PARTITION BY {key})) AS v FROM {name}_sums)"""
+
+
+# A unit opens a segment if its source is another than the one before, its vector unlike, or its span longer than 300 s.
 _SESSIONS = f"""
-WITH {UNITS}, flagged AS (
-  SELECT *, coalesce(lag(unit_id) OVER w IS NOT NULL AND lag(source_path) OVER w IS DISTINCT FROM source_path, false) AS boundary
-  FROM units WINDOW w AS (PARTITION BY chapter_id ORDER BY unit_seq, unit_id)
+WITH {UNITS}, texts AS (SELECT unit_id, coalesce(nullif({CONTEXT}, ''), 'no content') AS context FROM units), {embedded("texts", "unit_id", "context", "vectors")},
+placed AS (SELECT *, lag(unit_id) OVER w AS before, lag(source_path) OVER w AS source_before FROM units WINDOW w AS (PARTITION BY chapter_id ORDER BY unit_seq, unit_id)),
+likeness AS (SELECT p.unit_id, sum(a.v * b.v) AS s FROM placed p JOIN vectors a ON a.unit_id = p.unit_id JOIN vectors b ON b.unit_id = p.before AND b.place = a.place GROUP BY 1),
+flagged AS (
+  SELECT p.*, before IS NOT NULL AND source_before IS DISTINCT FROM source_path AS new_source,
+    before IS NOT NULL AND (source_before IS DISTINCT FROM source_path OR round(coalesce(s, 0), 6) < 0.5 OR coalesce(span_end - span_start > 300, false)) AS boundary
+  FROM placed p LEFT JOIN likeness USING (unit_id)
 ), counted AS (
   SELECT *, CAST(sum(boundary::INT) OVER (PARTITION BY chapter_id ORDER BY unit_seq, unit_id) AS BIGINT) AS session FROM flagged
 ), parts AS (
@@ -176,7 +192,21 @@ SELECT * FROM r WHERE place <= 10""",
     "unit_frames": f"""WITH {FRAMES}, r AS (
   SELECT unit_id, coalesce(nullif(selected_frame_path, ''), frame_path) AS path, row_number() OVER (PARTITION BY unit_id ORDER BY timestamp_sec NULLS LAST, frame_path) AS r FROM frames WHERE coalesce(unit_id, '') <> ''
 ) SELECT unit_id, count(*) AS n, string_agg(path, ',' ORDER BY r) AS paths FROM r GROUP BY 1""",
-    "boundary_source": _SESSIONS + "SELECT unit_id FROM flagged WHERE boundary",
+    "boundary_source": _SESSIONS + "SELECT unit_id FROM flagged WHERE new_source",
+    "boundary_union": _SESSIONS + "SELECT unit_id FROM flagged WHERE boundary",
+    "boundary_duration": "SELECT DISTINCT unit_id FROM stage3_transcripts WHERE span_end - span_start > 4",
+    "text_embeddings": f"WITH {UNITS}, {embedded('units', 'unit_id', 'raw_text', 'vectors')} SELECT unit_id, CAST(place AS BIGINT) AS place, v > 0 AS up, dense_rank() OVER (PARTITION BY unit_id ORDER BY abs(v)) AS size FROM vectors",
+    "segment_domains": f"""WITH {SEGS}, {embedded("segs", "segment_id", "merged_text", "vectors")},
+seeds AS (SELECT unnest([{quoted(DOMAINS)}]) AS domain, generate_subscripts([{quoted(DOMAINS)}], 1) AS i), {embedded("seeds", "domain, i", "domain", "seed_vectors")},
+s AS (SELECT segment_id, domain, i, sum(a.v * b.v) AS s FROM vectors a JOIN seed_vectors b USING (place) GROUP BY 1, 2, 3), best AS (
+  SELECT segment_id, first(domain ORDER BY s DESC, i) AS domain, max(s) AS s FROM s WHERE s > 0 GROUP BY 1
+) SELECT segs.segment_id, coalesce(best.domain, 'general') AS domain, round(coalesce(s, 0), 4) AS domain_confidence, round(coalesce(s, 0), 4) < 0.3 AS needs_llm_domain_check FROM segs LEFT JOIN best USING (segment_id)""",
+    "transcript_fallback": f"""WITH {UNITS}, {SEGS}, spans AS (SELECT segment_id, span_start AS a, span_end AS b, source_paths[1] AS p FROM segs),
+cues AS (SELECT source_path AS p, span_start AS a, span_end AS b, unit_seq, unit_id, {strip("coalesce(raw_text, '')")} AS t FROM units WHERE source_type = 'video'),
+met AS (SELECT s.segment_id, count(*) AS n, string_agg(t, ' ' ORDER BY unit_seq, unit_id) FILTER (t <> '') AS t FROM spans s JOIN cues c ON c.p = s.p AND ((s.a = 0 AND s.b = 0) OR (c.b >= s.a AND c.a <= s.b)) GROUP BY 1),
+whole AS (SELECT p, string_agg(t, ' ' ORDER BY unit_seq, unit_id) FILTER (t <> '') AS t FROM cues GROUP BY 1)
+SELECT segment_id, md5(CASE WHEN met.n IS NOT NULL THEN coalesce(met.t, '') WHEN whole.p IS NOT NULL THEN coalesce(whole.t, '') END) AS text_md5
+FROM spans LEFT JOIN met USING (segment_id) LEFT JOIN whole ON whole.p = spans.p""",
     "boundary_cosine": """WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, lag(CAST(embedding AS DOUBLE[])) OVER (PARTITION BY label ORDER BY vec_id) AS p FROM embeddings)
 SELECT vec_id, round(list_inner_product(p, e), 6) AS similarity FROM v WHERE p IS NOT NULL AND list_inner_product(p, e) < 0""",
     "sessionize_capped": _SESSIONS + "SELECT unit_id, session, part FROM parts",
@@ -184,7 +214,9 @@ SELECT vec_id, round(list_inner_product(p, e), 6) AS similarity FROM v WHERE p I
     + f""", rows AS (SELECT *, {CONTEXT} AS context FROM parts)
 SELECT chapter_id, session, part, min(span_start) AS span_start, max(span_end) AS span_end, count(*) AS unit_count, md5(string_agg(unit_id, ',' ORDER BY unit_seq, unit_id)) AS ids_md5,
   array_to_string(list_sort(list_distinct(list(source_type))), ',') AS source_types, md5(array_to_string(list_sort(list_distinct(list(source_path))), ',')) AS paths_md5,
-  md5(coalesce(string_agg(context, ' ' ORDER BY unit_seq, unit_id) FILTER (context <> ''), '')) AS text_md5
+  md5(coalesce(string_agg(context, ' ' ORDER BY unit_seq, unit_id) FILTER (context <> ''), '')) AS text_md5,
+  coalesce(array_to_string((SELECT list(k ORDER BY q, i)[1:10] FROM (
+    SELECT x.k AS k, min(x.q) AS q, min(x.i) AS i FROM (SELECT unnest(flatten(list(list_transform(coalesce(keyframe_paths, []), lambda k, i: {{'k': k, 'q': unit_seq, 'i': i}}) ORDER BY unit_seq, unit_id) FILTER (source_type = 'video'))) AS x) GROUP BY 1)), ','), '') AS keyframes
 FROM rows GROUP BY 1, 2, 3""",
     "split_long_units": f"""WITH {UNITS}, w AS (
   SELECT unit_id, span_start, span_end - span_start AS duration, {words("coalesce(raw_text, '')")} AS w, CAST(floor((span_end - span_start) / 4.0) AS BIGINT) + 1 AS slices FROM units WHERE span_end - span_start > 4.0
@@ -194,7 +226,7 @@ FROM rows GROUP BY 1, 2, 3""",
 ) SELECT unit_id, k, round(slice_start, 6) AS slice_start, round(slice_end, 6) AS slice_end, md5(array_to_string(p, ' ')) AS slice_md5 FROM s WHERE len(p) > 0""",
     "validate_segments": f"""WITH {SEGS}, n AS (SELECT *, coalesce(len({words("merged_text")}), 0) AS n FROM segs)
 SELECT segment_id, n AS n_words, CASE WHEN n < 20 THEN 'too_short' WHEN n > 1024 THEN 'too_long' WHEN coalesce(domain, '') = '' THEN 'no_domain' WHEN {strip("merged_text")} = '' THEN 'blank' ELSE 'ok' END AS reason FROM n""",
-    "pending_antijoin": "SELECT DISTINCT segment_id FROM stage5_segments WHERE segment_id NOT IN (SELECT segment_id FROM stage6_raw_concepts WHERE segment_id IS NOT NULL)",
+    "pending_antijoin": "SELECT DISTINCT unit_id FROM stage3_transcripts WHERE unit_id NOT IN (SELECT unit_id FROM stage2_selected_frames WHERE unit_id IS NOT NULL)",
     "parse_pass1": f"""WITH {_lines("stage6_raw_concepts", "concept_id")}
 SELECT concept_id, p[1] AS name, CASE WHEN lower(p[2]) IN ({quoted(CONCEPT_TYPES)}) THEN lower(p[2]) ELSE 'fact' END AS type, md5(p[3]) AS definition_md5
 FROM cut WHERE len(p) >= 3 AND length(p[1]) BETWEEN 1 AND 120 QUALIFY row_number() OVER (PARTITION BY concept_id ORDER BY line_no) <= 20""",

@@ -146,3 +146,15 @@ def test_kmeans_and_quality(spark):
     reason = frames.quality_reason(F.col("m"), F.col("s"), F.col("f"), 10, 20, 50, 0.5)
     df = spark.createDataFrame([(5.0, 99.0, 0.0), (50.0, 5.0, 0.0), (50.0, 30.0, 0.9), (50.0, 30.0, 0.1), (None, None, None)], "m double, s double, f double")
     assert [x.r for x in df.select(reason.alias("r")).collect()] == ["dark", "blurred", "face", "keep", "keep"]
+
+
+def test_overlap_join_equals_comparing_all(spark):
+    r = random.Random(3)
+    spot = lambda: r.choice([0.0, r.uniform(-50, 50), r.uniform(0, 5000), float(r.randrange(60))])
+    spans = [(f"s{i}", r.choice("ab"), spot(), spot()) for i in range(60)] + [("all", "a", 0.0, 0.0), ("null", "a", None, 1.0), ("nan", "a", float("nan"), 1.0), ("wide", "b", -1e6, 1e7)]
+    cues = [(f"c{i}", r.choice("ab"), a, a + r.choice([-3.0, 0.0, 2.0, 900.0])) for i in range(90) for a in [spot()]] + [("null", "a", 1.0, None)]
+    got = sorted((x.id, x.cue) for x in segments.overlapping(spark.createDataFrame(spans, "id string, entity string, start double, stop double"), spark.createDataFrame(cues, "cue string, entity string, start double, stop double")).collect())
+    assert got == sorted((i, c) for i, e, a, b in spans for c, f, x, y in cues if e == f and ((a, b) == (0.0, 0.0) or (None not in (a, b, x, y) and y >= a and x <= b)))
+    texts = spark.createDataFrame([("a", 1.0, 2.0, 1, " one "), ("a", 5.0, 6.0, 2, "two"), ("a", 7.0, 8.0, 3, "")], "entity string, start double, stop double, place int, text string")
+    units = spark.createDataFrame([("u", "a", 4.0, 9.0), ("v", "a", 50.0, 60.0), ("w", "b", 0.0, 9.0), ("x", "a", 0.0, 0.0)], "unit_id string, entity string, start double, stop double")
+    assert {x.unit_id: x.text for x in segments.transcript_texts(units, texts).collect()} == {"u": "two", "v": "one two", "w": None, "x": "one two"}

@@ -16,7 +16,10 @@ def test_all_four_boundaries(spark):
     rows[0], rows[5] = ("u00", "a", 400.0), ("u05", "a", 301.0)
     axis = [0.8, 0.6]  # unlike neither before nor after
     vectors = [[1.0, 0.0] if i < 20 else axis if i < 50 else [-1.0, 0.0] for i in range(60)]
-    units = spark.createDataFrame([(u, "k", i, s, "text", 0.0, t, "w", "", "") for i, (u, s, t) in enumerate(rows)], "unit_id string, chapter_id string, unit_seq long, source_path string, source_type string, span_start double, span_end double, raw_text string, visual_caption string, ocr_text string")
+    units = spark.createDataFrame(
+        [(u, "k", i, s, "text", 0.0, t, "w", "", "", []) for i, (u, s, t) in enumerate(rows)],
+        "unit_id string, chapter_id string, unit_seq long, source_path string, source_type string, span_start double, span_end double, raw_text string, visual_caption string, ocr_text string, keyframe_paths array<string>",
+    )
     given = spark.createDataFrame([(u, v) for (u, _, _), v in zip(rows, vectors)], "unit_id string, embedding array<double>")
     got = [(x.session, x.part) for x in segments.topic_segments(units, vectors=given).orderBy("unit_seq").collect()]
     assert got == sequential(rows, vectors, {20, 50})
