@@ -7,12 +7,14 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from conceptloom.config import DEFAULTS, EngineConfig
+from conceptloom.adapters import decided, hashed_embedding
 from conceptloom.functions.text import name_form, normal_name, present
-from conceptloom.operators.pairs import blocked
+from conceptloom.operators.clusters import clustered, triage
+from conceptloom.operators.pairs import blocked, least_similarity, tiles, two_blocks
 from conceptloom.runtime import Scratch
 
 
@@ -54,26 +56,34 @@ def fuzzy_pairs(names: DataFrame, scope: str, seq: str, name: str, threshold: fl
     pairs that reach the threshold leave a task. Null names are left out, empty ones are equal.
     """
     low = threshold / (200.0 - threshold)
-    rows = names.select(scope, F.col(seq).alias("seq"), F.col(name).alias("s")).dropna(subset=["s"])
-    by_length = F.when(F.char_length("s") == 0, F.lit(-9)).otherwise(F.floor(F.log(F.char_length("s").cast("double")) / F.lit(-math.log(min(low, 0.99)) + 1e-9))).cast("long")
+    rows = names.select(scope, F.col(seq).alias("seq"), F.col(name).alias("__s")).dropna(subset=["__s"])
+    by_length = F.when(F.char_length("__s") == 0, F.lit(-9)).otherwise(F.floor(F.log(F.char_length("__s").cast("double")) / F.lit(-math.log(min(low, 0.99)) + 1e-9))).cast("long")
     size = rows.groupBy(scope).agg(F.count(F.lit(1)).alias("__n"))  # a scope of one block needs no bands
     rows = rows.join(size, scope).withColumn("cell", F.when(F.col("__n") <= block, F.lit(0).cast("long")).otherwise(by_length)).drop("__n")
     kind = dict(names.dtypes)
 
     def of(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates(["seq", "__b"]).sort_values("seq")
-        same = rows["__x"].iloc[0] == rows["__y"].iloc[0]
-        a, b = rows[rows["__b"] == rows["__x"].iloc[0]], rows[rows["__b"] == rows["__y"].iloc[0]]
-        out = []
-        if len(a) and len(b):
-            sa, sb, qa, qb = a["s"].tolist(), b["s"].tolist(), a["seq"].to_numpy(), b["seq"].to_numpy()
-            la, lb = (np.array([len(x) for x in y], dtype=np.float32) for y in (sa, sb))
-            most = np.floor((1.0 - threshold / 100.0) * (la[:, None] + lb[None, :]) + 1e-4)
-            need = np.maximum(np.maximum(la[:, None], lb[None, :]) - grams + 1, 0) - most * grams
-            may = (gram_counts(sa, grams) @ gram_counts(sb, grams).T >= need) & (np.abs(la[:, None] - lb[None, :]) <= most)
-            if same:
+        a, b, same = two_blocks(rows, "seq")
+        sa, sb, qa, qb = a["__s"].tolist(), b["__s"].tolist(), a["seq"].to_numpy(), b["seq"].to_numpy()
+        la, lb = (np.array([len(x) for x in y], dtype=np.float32) for y in (sa, sb))
+        out, kept = [], {}
+
+        def counts(side: str, names: list[str], at: slice) -> np.ndarray:
+            if kept.get(side, (None,))[0] != at.start:
+                kept[side] = at.start, gram_counts(names[at], grams)
+            return kept[side][1]
+
+        for p, q in tiles(len(sa), len(sb), same):
+            most = np.floor((1.0 - threshold / 100.0) * (la[p, None] + lb[None, q]) + 1e-4)
+            need = np.maximum(np.maximum(la[p, None], lb[None, q]) - grams + 1, 0) - most * grams
+            may = np.abs(la[p, None] - lb[None, q]) <= most
+            if not may.any():
+                continue
+            may &= counts("a", sa, p) @ counts("b", sb, q).T >= need
+            if same and p == q:
                 may = np.triu(may, 1)
             for i, j in zip(*np.nonzero(may)):
+                i, j = i + p.start, j + q.start
                 ratio = indel_ratio(sa[i], sb[j])
                 if ratio >= threshold:
                     out.append((min(qa[i], qb[j]), max(qa[i], qb[j]), ratio))
@@ -133,25 +143,112 @@ def score_of(confidence: Column, frequency: Column, most: Column, config: Engine
     return config.base_weight * F.coalesce(F.nanvl(confidence, F.lit(None)), F.lit(0.0)) + config.frequency_weight * F.coalesce(frequency, F.lit(1)) / F.greatest(most, F.lit(1))
 
 
-def canonical_concepts(concepts: DataFrame, config: EngineConfig = DEFAULTS) -> DataFrame:
-    """One canonical concept per group of equal names in a chapter: (chapter_id, form, canonical_id, name, frequency,
-    confidence, n_aliases, n_segments). The winner has the best score, on ties the first; the rest are partial aggregates."""
-    rows = concepts.dropDuplicates(["concept_id"]).withColumn("form", name_form("name")).withColumn("f", F.coalesce("frequency", F.lit(1)))
+def mode_names(concepts: DataFrame, groups: DataFrame) -> DataFrame:
+    """(chapter_id, group, name, n): the commonest name of each group, on ties the one seen first."""
+    rows = concepts.dropDuplicates(["concept_id"]).select("concept_id", "chapter_id", "concept_seq", "name").join(groups, "concept_id")
+    named = rows.groupBy("chapter_id", "group", "name").agg(F.count(F.lit(1)).alias("n"), F.min("concept_seq").alias("seq"))
+    best = named.groupBy("chapter_id", "group").agg(F.min(F.struct((-F.col("n")).alias("m"), "seq", "name")).alias("b"))
+    return best.select("chapter_id", "group", "b.name", (-F.col("b.m")).alias("n"))
+
+
+def equal_name_groups(concepts: DataFrame) -> DataFrame:
+    """(concept_id, group): concepts with equal compared names in a chapter; a null name is a group of its own kind."""
+    return concepts.dropDuplicates(["concept_id"]).select("concept_id", name_form("name").alias("group"))
+
+
+def canonical_concepts(concepts: DataFrame, groups: DataFrame | None = None, config: EngineConfig = DEFAULTS) -> DataFrame:
+    """One canonical concept for each group (concept_id, group) of a chapter, by default those of equal names: (chapter_id, group,
+    concept_id, name, type, definition, domain, segment_id, source_type, frequency, confidence, aliases, source_segments,
+    difficulty).
+
+    The winner has the best score, on ties the first; frequency is the group's sum, confidence the winner's with that sum, at
+    most 1; aliases are the other names and source_segments the segments, different ones in the order first seen. Names and
+    segments are made different by partial aggregation before they are listed, so a list is as large as its value.
+    """
+    groups = equal_name_groups(concepts) if groups is None else groups
+    rows = concepts.dropDuplicates(["concept_id"]).withColumn("f", F.coalesce("frequency", F.lit(1))).join(groups.select("concept_id", "group"), "concept_id")
     most = rows.groupBy("chapter_id").agg(F.max("f").alias("most"))
-    rows = rows.join(most, "chapter_id").withColumn("score", score_of(F.col("confidence"), F.col("f"), F.col("most"), config))
-    best = F.min(F.struct((-F.col("score")).alias("s"), F.col("concept_seq").alias("q"), F.col("concept_id").alias("concept_id"), F.col("name").alias("name"), F.col("confidence").alias("c")))
-    grouped = rows.groupBy("chapter_id", "form").agg(
-        best.alias("b"), F.sum("f").alias("frequency"), F.max("most").alias("most"), F.count_distinct("name").alias("names"), F.count_distinct("segment_id").alias("n_segments")
-    )
-    sure = F.least(F.lit(1.0), score_of(F.col("b.c"), F.col("frequency"), F.col("most"), config))
-    return grouped.select("chapter_id", "form", F.col("b.concept_id").alias("canonical_id"), F.col("b.name").alias("name"), "frequency", sure.alias("confidence"), (F.col("names") - 1).alias("n_aliases"), "n_segments")
-
-
-def id_remap(concepts: DataFrame, config: EngineConfig = DEFAULTS) -> DataFrame:
-    """(old_id, canonical_id) of every concept that isn't its own canonical concept."""
-    best = canonical_concepts(concepts, config).select("chapter_id", "form", "canonical_id")
-    rows = concepts.dropDuplicates(["concept_id"]).select(F.col("concept_id").alias("old_id"), "chapter_id", name_form("name").alias("form"))
-    return rows.join(best, ["chapter_id", "form"]).filter(F.col("old_id") != F.col("canonical_id")).select("old_id", "canonical_id")
+    keys = ["chapter_id", "group"]
+    scored = rows.join(most, "chapter_id").withColumn("score", score_of(F.col("confidence"), F.col("f"), F.col("most"), config))
+    fields = ("concept_id", "name", "type", "definition", "domain", "segment_id", "source_type", "confidence")
+    best = F.min(F.struct((-F.col("score")).alias("s"), F.col("concept_seq").alias("q"), *fields))
+    grouped = scored.groupBy(*keys).agg(best.alias("b"), F.sum("f").alias("frequency"), F.max("most").alias("most"))
+
+    def listed(column: str, name: str) -> DataFrame:
+        different = rows.filter(F.coalesce(column, F.lit("")) != "").groupBy(*keys, column).agg(F.min("concept_seq").alias("q"))
+        got = different.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("q", F.col(column).alias("x")))).alias("l"))
+        return got.select(*[F.col(k).alias(f"__{name}_{k}") for k in keys], F.transform("l", lambda v: v.x).alias(name))
+
+    out = grouped
+    for column, name in (("name", "names"), ("segment_id", "segments")):
+        out = out.join(listed(column, name), F.expr(" AND ".join(f"{k} <=> __{name}_{k}" for k in keys)), "left")
+    none = F.array().cast("array<string>")
+    sure = F.least(F.lit(1.0), score_of(F.col("b.confidence"), F.col("frequency"), F.col("most"), config))
+    return out.select(
+        *keys, *[F.col(f"b.{f}").alias(f) for f in fields[:-1]], "frequency", sure.alias("confidence"),
+        F.coalesce(F.filter("names", lambda x: ~x.eqNullSafe(F.col("b.name"))), none).alias("aliases"), F.coalesce("segments", none).alias("source_segments"), F.lit(1).alias("difficulty"),
+    )
+
+
+def id_remap(concepts: DataFrame, groups: DataFrame | None = None, config: EngineConfig = DEFAULTS) -> DataFrame:
+    """(old_id, canonical_id) of every concept that isn't its own canonical concept, in groups as of ``canonical_concepts``."""
+    groups = equal_name_groups(concepts) if groups is None else groups
+    rows = concepts.dropDuplicates(["concept_id"]).withColumn("f", F.coalesce("frequency", F.lit(1))).select("concept_id", "chapter_id", "concept_seq", "confidence", "f").join(groups.select("concept_id", "group"), "concept_id")
+    most = rows.groupBy("chapter_id").agg(F.max("f").alias("most"))
+    scored = rows.join(most, "chapter_id").withColumn("score", score_of(F.col("confidence"), F.col("f"), F.col("most"), config))
+    best = scored.groupBy("chapter_id", "group").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("concept_seq").alias("q"), F.col("concept_id").alias("id"))).alias("b"))
+    won = best.select(F.col("chapter_id").alias("__c"), F.col("group").alias("__g"), F.col("b.id").alias("canonical_id"))
+    met = rows.join(won, F.col("chapter_id").eqNullSafe(F.col("__c")) & F.col("group").eqNullSafe(F.col("__g")))
+    return met.filter(F.col("concept_id") != F.col("canonical_id")).select(F.col("concept_id").alias("old_id"), "canonical_id")
+
+
+def semantic_clusters(concepts: DataFrame, lexical: DataFrame, config: EngineConfig = DEFAULTS, vectors: DataFrame | None = None) -> DataFrame:
+    """(chapter_id, group, cluster, n, least, fate): lexical groups (concept_id, group) in density clusters of their commonest
+    names' vectors, with the cluster's smallest similarity and what becomes of it: merge, check or split; noise (cluster -1)
+    and clusters of one are split, that is, stay as they are.
+
+    Vectors are (chapter_id, group, embedding), by default hashed words of the commonest name.
+    """
+    scratch = Scratch(concepts.sparkSession, "semantic")
+    if vectors is None:
+        vectors = mode_names(concepts, lexical).select("chapter_id", "group", hashed_embedding(F.coalesce("name", F.lit(""))).alias("embedding"))
+    vectors = scratch.save(vectors.select("chapter_id", "group", "embedding"), "vectors")
+    got = scratch.save(clustered(vectors, "chapter_id", "group", "embedding", config.min_cluster), "clusters")
+    own = F.concat_ws("/", "chapter_id", F.col("cluster").cast("string"))
+    members = got.filter("cluster >= 0").withColumn("key", own)
+    low = least_similarity(members.join(vectors, ["chapter_id", "group"]).select("key", "group", "embedding"), "key", "group", "embedding")
+    fate = F.when(F.coalesce("n", F.lit(1)) < 2, "split").otherwise(triage(F.col("least"), config.merge_similarity, config.check_similarity))
+    return got.withColumn("key", own).join(low, "key", "left").select("chapter_id", "group", "cluster", F.coalesce("n", F.lit(1)).alias("n"), "least", fate.alias("fate"))
+
+
+def resolved_groups(concepts: DataFrame, replies: DataFrame | None = None, config: EngineConfig = DEFAULTS, vectors: DataFrame | None = None) -> DataFrame:
+    """(concept_id, group): fuzzy name groups, merged by density clusters after triage.
+
+    Clusters that merge become one group; those to be checked do if the decider said yes (replies: key 'chapter/cluster',
+    reply), else their concepts are groups of their own; the rest stay the lexical groups that they were. A group is named
+    by its first concept's place, so groups of the three kinds never share a name.
+    """
+    scratch = Scratch(concepts.sparkSession, "resolved")
+    lexical = scratch.save(lexical_groups(concepts, config).select("concept_id", F.col("leader_seq").alias("group")), "lexical")
+    clusters = scratch.save(semantic_clusters(concepts, lexical, config, vectors), "clusters").withColumn("key", F.concat_ws("/", "chapter_id", F.col("cluster").cast("string")))
+    if replies is None:
+        replies = concepts.sparkSession.createDataFrame([], "key string, reply string")
+    said = decided(clusters.filter("fate = 'check'"), replies, "key").withColumnRenamed("merge", "yes")
+    joined = F.min("group").over(Window.partitionBy("key"))
+    whole = clusters.join(said, "key", "left").filter((F.col("fate") == "merge") | F.col("yes")).withColumn("into", joined).select("chapter_id", "group", "into")
+    apart = clusters.join(said, "key", "left").filter((F.col("fate") == "check") & ~F.coalesce("yes", F.lit(False))).select("chapter_id", "group", F.lit(True).alias("apart"))
+    rows = concepts.dropDuplicates(["concept_id"]).select("concept_id", "chapter_id", "concept_seq").join(lexical, "concept_id")
+    rows = rows.join(whole, ["chapter_id", "group"], "left").join(apart, ["chapter_id", "group"], "left")
+    return rows.select("concept_id", F.when(F.col("apart"), F.col("concept_seq")).otherwise(F.coalesce("into", "group")).alias("group"))
+
+
+def decider_names(concepts: DataFrame, clusters: DataFrame, lexical: DataFrame, most: int = 8) -> DataFrame:
+    """(key, names): what a decider is asked about: the first different names of each cluster to be checked, quoted."""
+    rows = concepts.dropDuplicates(["concept_id"]).select("concept_id", "chapter_id", "concept_seq", "name").join(lexical, "concept_id").join(clusters.filter("fate = 'check'").select("chapter_id", "group", "cluster"), ["chapter_id", "group"])
+    named = rows.groupBy("chapter_id", "cluster", "name").agg(F.min("concept_seq").alias("q"))
+    first = named.withColumn("r", F.row_number().over(Window.partitionBy("chapter_id", "cluster").orderBy("q"))).filter(F.col("r") <= most)
+    listed = first.groupBy("chapter_id", "cluster").agg(F.array_sort(F.collect_list(F.struct("r", "name"))).alias("l"))
+    return listed.select(F.concat_ws("/", "chapter_id", F.col("cluster").cast("string")).alias("key"), F.array_join(F.transform("l", lambda x: F.concat(F.lit('"'), F.coalesce(x["name"], F.lit("")), F.lit('"'))), ", ").alias("names"))
 
 
 def name_index(canonical: DataFrame, last: bool = False) -> DataFrame:

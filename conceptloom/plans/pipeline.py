@@ -297,10 +297,18 @@ def leader_groups(s: SparkSession, d: str) -> DataFrame:
     return resolve.lexical_groups(_raw(s, d))
 
 
+def _shown(concepts):
+    """Canonical concepts with their lists as texts."""
+    joined = lambda c: F.md5(F.array_join(c, "|"))
+    return concepts.select(
+        "chapter_id", "group", F.col("concept_id").alias("canonical_id"), "name", "type", "domain", F.md5("definition").alias("definition_md5"), F.col("frequency").cast("long").alias("frequency"), F.round("confidence", 6).alias("confidence"),
+        F.size("aliases").cast("long").alias("n_aliases"), joined("aliases").alias("aliases_md5"), F.size("source_segments").cast("long").alias("n_segments"), joined("source_segments").alias("segments_md5"),
+    )
+
+
 @query
 def canonical_concepts(s: SparkSession, d: str) -> DataFrame:
-    got = resolve.canonical_concepts(_raw(s, d))
-    return got.select("chapter_id", "form", "canonical_id", "name", F.col("frequency").cast("long").alias("frequency"), F.round("confidence", 6).alias("confidence"), "n_aliases", "n_segments")
+    return _shown(resolve.canonical_concepts(_raw(s, d))).withColumnRenamed("group", "form")
 
 
 @query
@@ -308,6 +316,38 @@ def id_remap(s: SparkSession, d: str) -> DataFrame:
     return resolve.id_remap(_raw(s, d))
 
 
+def _lexical(s, d):
+    return resolve.lexical_groups(_raw(s, d)).select("concept_id", F.col("leader_seq").alias("group"))
+
+
+@query
+def mode_names(s: SparkSession, d: str) -> DataFrame:
+    return resolve.mode_names(_raw(s, d), _lexical(s, d)).withColumnRenamed("group", "leader_seq")
+
+
+@query
+def fuzzy_concepts(s: SparkSession, d: str) -> DataFrame:
+    """Canonical concepts of the fuzzy name groups."""
+    return _shown(resolve.canonical_concepts(_raw(s, d), _lexical(s, d))).withColumnRenamed("group", "leader_seq")
+
+
+@query
+def fuzzy_remap(s: SparkSession, d: str) -> DataFrame:
+    return resolve.id_remap(_raw(s, d), _lexical(s, d))
+
+
+@query
+def resolved_concepts(s: SparkSession, d: str) -> DataFrame:
+    """From raw to canonical concepts: fuzzy groups, density clusters, triage; nothing was asked, so checks keep concepts apart."""
+    groups = Scratch(s, "groups").save(resolve.resolved_groups(_raw(s, d)), "resolved")
+    return _shown(resolve.canonical_concepts(_raw(s, d), groups))
+
+
+@query
+def resolved_remap(s: SparkSession, d: str) -> DataFrame:
+    return resolve.id_remap(_raw(s, d), resolve.resolved_groups(_raw(s, d)))
+
+
 @query
 def remap_concepts(s: SparkSession, d: str) -> DataFrame:
     return resolve.remapped(_raw(s, d).select("concept_id", "concept_seq").distinct(), "concept_id", table(s, d, "stage7_id_remap"))

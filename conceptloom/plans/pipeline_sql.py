@@ -99,16 +99,73 @@ _DEPTHS = (
 ), depths AS (SELECT chapter_id, node, max(depth) AS depth FROM walk GROUP BY 1, 2)
 """
 )
-_CANONICAL = f"""
-WITH {RAW}, f AS (SELECT *, coalesce(frequency, 1) AS f FROM raw), most AS (SELECT chapter_id, max(f) AS most FROM f GROUP BY 1),
+
+
+def _canonical(group: str) -> str:
+    """Canonical concepts of the groups that a column of raw, or of what it is joined with, names."""
+    return f"""
+f AS (SELECT *, {group} AS grp, coalesce(frequency, 1) AS f FROM raw), most AS (SELECT chapter_id, max(f) AS most FROM f GROUP BY 1),
 scored AS (SELECT f.*, most, 0.7 * {_SURE} + 0.3 * f / greatest(most, 1) AS score FROM f JOIN most USING (chapter_id)),
+best AS (
+  SELECT chapter_id, grp, concept_id AS canonical_id, name, type, domain, definition, confidence AS c FROM scored
+  QUALIFY row_number() OVER (PARTITION BY chapter_id, grp ORDER BY score DESC, concept_seq) = 1
+), sums AS (SELECT chapter_id, grp, CAST(sum(f) AS BIGINT) AS frequency, max(most) AS most FROM scored GROUP BY 1, 2),
+names AS (SELECT chapter_id, grp, list(name ORDER BY q) AS names FROM (SELECT chapter_id, grp, name, min(concept_seq) AS q FROM f WHERE name <> '' GROUP BY 1, 2, 3) GROUP BY 1, 2),
+segments AS (SELECT chapter_id, grp, list(segment_id ORDER BY q) AS segments FROM (SELECT chapter_id, grp, segment_id, min(concept_seq) AS q FROM f WHERE segment_id <> '' GROUP BY 1, 2, 3) GROUP BY 1, 2),
 canonical AS (
-  SELECT chapter_id, form, first(concept_id ORDER BY score DESC, concept_seq) AS canonical_id, first(name ORDER BY score DESC, concept_seq) AS name,
-    CAST(sum(f) AS BIGINT) AS frequency, first(confidence ORDER BY score DESC, concept_seq) AS c, max(most) AS most,
-    count(DISTINCT name) - 1 AS n_aliases, count(DISTINCT segment_id) AS n_segments
-  FROM scored GROUP BY 1, 2
+  SELECT b.*, frequency, most, list_filter(coalesce(names, []), lambda x: x IS DISTINCT FROM b.name) AS aliases, coalesce(segments, []) AS segments
+  FROM best b JOIN sums s ON s.chapter_id = b.chapter_id AND s.grp IS NOT DISTINCT FROM b.grp
+  LEFT JOIN names n ON n.chapter_id = b.chapter_id AND n.grp IS NOT DISTINCT FROM b.grp LEFT JOIN segments g ON g.chapter_id = b.chapter_id AND g.grp IS NOT DISTINCT FROM b.grp
 )
 """
+
+
+def _shown(group: str) -> str:
+    return f"""SELECT chapter_id, grp AS {group}, canonical_id, name, type, domain, md5(definition) AS definition_md5, frequency, round(least(1.0, 0.7 * {_SURE.replace("confidence", "c")} + 0.3 * frequency / greatest(most, 1)), 6) AS confidence,
+  CAST(len(aliases) AS BIGINT) AS n_aliases, md5(array_to_string(aliases, '|')) AS aliases_md5, CAST(len(segments) AS BIGINT) AS n_segments, md5(array_to_string(segments, '|')) AS segments_md5 FROM canonical"""
+
+
+_REMAP = "SELECT f.concept_id AS old_id, c.canonical_id FROM f JOIN canonical c ON c.chapter_id = f.chapter_id AND c.grp IS NOT DISTINCT FROM f.grp WHERE f.concept_id <> c.canonical_id"
+_CANONICAL = f"WITH {RAW}, {_canonical('form')}"
+
+
+def _lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence: rows of the table, each from the one before as maxima from the left."""
+    return f"""list_last(list_reduce(list_prepend(list_transform(range(0, length({b}) + 1), lambda x: CAST(0 AS BIGINT)), list_transform(string_split({a}, ''), lambda c: [CAST(ord(c) AS BIGINT)])),
+    lambda r, c: list_prepend(CAST(0 AS BIGINT), list_transform(range(1, length({b}) + 1), lambda j: list_max(list_transform(range(1, j + 1), lambda k: greatest(r[k + 1], r[k] + CASE WHEN ord({b}[k]) = c[1] THEN 1 ELSE 0 END)))))))"""
+
+
+def _similar(items: str) -> str:
+    """pairs of items (chapter_id, norm, seq) whose indel ratio is at least 90."""
+    near = "floor(0.1 * (length(a.norm) + length(b.norm)) + 1e-9)"
+    return f"""
+near AS (
+  SELECT a.chapter_id, a.seq AS seq_a, b.seq AS seq_b, a.norm AS x, b.norm AS y FROM {items} a JOIN {items} b ON a.chapter_id = b.chapter_id AND a.seq < b.seq
+    AND abs(length(a.norm) - length(b.norm)) <= {near} AND (strlen(a.norm) <> length(a.norm) OR strlen(b.norm) <> length(b.norm) OR levenshtein(a.norm, b.norm) <= {near})
+), pairs AS MATERIALIZED (
+  SELECT * FROM (SELECT chapter_id, seq_a, seq_b, CASE WHEN x = '' OR y = '' THEN CASE WHEN x = y THEN 100.0 ELSE 0 END ELSE 200.0 * {_lcs("x", "y")} / (length(x) + length(y)) END AS ratio FROM near) WHERE ratio >= 90
+)"""
+
+
+# Leaders one after another: an item joins its first similar leader or leads.
+_WALK = """
+linked AS MATERIALIZED (SELECT scope, seq_a AS seq FROM pairs UNION SELECT scope, seq_b FROM pairs),
+prior AS MATERIALIZED (
+  SELECT i.scope, i.seq, row_number() OVER (PARTITION BY i.scope ORDER BY i.seq) AS k, p.near FROM linked i LEFT JOIN (SELECT scope, seq_b, list(seq_a) AS near FROM pairs GROUP BY 1, 2) p ON p.scope = i.scope AND p.seq_b = i.seq
+), steps AS (
+  SELECT DISTINCT scope, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS heads, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS BIGINT) AS leader FROM linked
+  UNION ALL
+  SELECT scope, k, CASE WHEN hit IS NULL THEN list_append(heads, seq) ELSE heads END, seq, coalesce(hit, seq) FROM (
+    SELECT w.scope, p.k, w.heads, CAST(p.seq AS BIGINT) AS seq, CAST(list_min(list_filter(coalesce(p.near, []), lambda x: list_contains(w.heads, x))) AS BIGINT) AS hit FROM steps w JOIN prior p ON p.scope = w.scope AND p.k = w.k + 1
+  )
+), walk AS (SELECT i.scope, i.seq, coalesce(s.leader, i.seq) AS leader FROM items i LEFT JOIN steps s ON s.scope = i.scope AND s.seq = i.seq)"""
+_LEXICAL = f"""
+WITH RECURSIVE raw AS (SELECT DISTINCT ON (concept_id) *, regexp_replace(lower({strip("name")}), '[^\\p{{L}}\\p{{M}}\\p{{N}} ]', '', 'g') AS norm FROM stage6_raw_concepts),
+named AS (SELECT chapter_id, norm, min(concept_seq) AS seq FROM raw GROUP BY 1, 2), {_similar("named").replace("pairs AS MATERIALIZED", "ratios AS MATERIALIZED")},
+items AS (SELECT chapter_id AS scope, seq FROM named), pairs AS (SELECT chapter_id AS scope, seq_a, seq_b FROM ratios), {_WALK},
+lexical AS (SELECT r.concept_id, w.leader FROM raw r JOIN named n ON n.chapter_id = r.chapter_id AND n.norm = r.norm JOIN walk w ON w.scope = n.chapter_id AND w.seq = n.seq)
+"""
+_FUZZY = _LEXICAL.replace("WITH RECURSIVE raw AS", "WITH RECURSIVE raw0 AS").replace("FROM raw GROUP", "FROM raw0 GROUP").replace("FROM raw r", "FROM raw0 r") + f", raw AS (SELECT raw0.*, leader FROM raw0 JOIN lexical USING (concept_id)), {_canonical('leader')}"
 _GRAPH = f"""
 WITH {RELS}, canon AS (SELECT DISTINCT ON (concept_id) * FROM stage7_canonical_concepts WHERE deleted_at IS NULL), {_INDEX}, {_RESOLVED}, {_EDGES},
 atomic AS (
@@ -250,9 +307,15 @@ SELECT concept_id, substr(p[1], 1, 80) AS title, coalesce(p[2], '') AS summary,
 FROM cut QUALIFY row_number() OVER (PARTITION BY concept_id ORDER BY line_no) = 1""",
     "normalize_names": f"SELECT DISTINCT concept_id, regexp_replace(lower({strip('name')}), '[^a-z0-9 ]', '', 'g') AS norm, {name('name')} AS form FROM stage6_raw_concepts",
     "exact_name_groups": f"WITH {RAW} SELECT chapter_id, form, min(concept_seq) AS first_seq, count(*) AS n FROM raw GROUP BY 1, 2",
-    "canonical_concepts": _CANONICAL
-    + f"SELECT chapter_id, form, canonical_id, name, frequency, round(least(1.0, 0.7 * {_SURE.replace('confidence', 'c')} + 0.3 * frequency / greatest(most, 1)), 6) AS confidence, n_aliases, n_segments FROM canonical",
-    "id_remap": _CANONICAL + "SELECT concept_id AS old_id, canonical_id FROM raw JOIN canonical USING (chapter_id, form) WHERE concept_id <> canonical_id",
+    "canonical_concepts": _CANONICAL + _shown("form"),
+    "id_remap": _CANONICAL + _REMAP,
+    "fuzzy_pairs": f"WITH named AS (SELECT chapter_id, lower(name) AS norm, min(concept_seq) AS seq FROM stage6_raw_concepts WHERE name IS NOT NULL GROUP BY 1, 2), {_similar('named')} SELECT chapter_id, seq_a, seq_b, round(ratio, 6) AS ratio FROM pairs",
+    "leader_groups": _LEXICAL + "SELECT concept_id, leader AS leader_seq FROM lexical",
+    "mode_names": _LEXICAL
+    + """SELECT chapter_id, leader AS leader_seq, first(name ORDER BY n DESC, q) AS name, max(n) AS n FROM (
+  SELECT chapter_id, leader, name, count(*) AS n, min(concept_seq) AS q FROM raw JOIN lexical USING (concept_id) GROUP BY 1, 2, 3) GROUP BY 1, 2""",
+    "fuzzy_concepts": _FUZZY + _shown("leader_seq"),
+    "fuzzy_remap": _FUZZY + _REMAP,
     "remap_concepts": """WITH m AS (SELECT old_id, min(canonical_id) AS new FROM stage7_id_remap WHERE old_id IS NOT NULL AND canonical_id IS NOT NULL GROUP BY 1)
 SELECT coalesce(new, concept_id) AS concept_id, concept_seq FROM (SELECT DISTINCT concept_id, concept_seq FROM stage6_raw_concepts) LEFT JOIN m ON old_id = concept_id""",
     "name_resolve_first": f"WITH {RELS}, {CANON}, {_INDEX}, {_RESOLVED} SELECT relation_id, s1 AS source, t1 AS target FROM resolved",
