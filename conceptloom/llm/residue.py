@@ -10,6 +10,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from conceptloom.llm.factors import Finder, alternatives
+from conceptloom.llm.messages import PARTS, message_kind, possible
+
 # --- Slots: one grammar for each kind of delimiter. NAME is an identifier of two characters or more, in any script.
 NAME = r"(?:[^\W\d]|[$@])[\w.$\u0900-\u0963-]*[\w\u0900-\u0963]"
 SLOTS = {
@@ -18,19 +21,20 @@ SLOTS = {
     "server tag": rf"<%[=-]?\s*{NAME}[^%\n]*%>|<\?(?:php|=)?\s*(?:echo\s+)?\$?{NAME}[^?\n]*\?>",
     "dollar brace": rf"\$\{{{NAME}\}}|\{{\${NAME}\}}|#\{{{NAME}\}}",
     "brace": rf"(?<![\\\w{{}}$#%^]){{{NAME}}}(?![}}{{])",
-    "percent": r"(?<![\w%])(?:%%[^\W\d][\w.]*%%|%[^\W\d][\w.]*[^\W\d]%)(?![\w%])",
+    "merge tag": rf"\*\|{NAME}\|\*|\|\*{NAME}\*\|",
+    "percent": r"%\([^\W\d]\w*\)[sdf]\b|(?<![\w%])(?:%%[^\W\d][\w.]*%%|%[^\W\d][\w.]*[^\W\d]%)(?![\w%])",
     "at": rf"@@{NAME}@@",
     "colon": rf"(?<![\w:])::{NAME}::",
     "underscore": r"(?<!\w)__[^\W\d_][\w.]*?[^\W\d_]__(?!\w)",
     "angle": rf"<<{NAME}>>|<[^\W\d][\w.]*\w>",
-    "bracket name": r"\[\[?[A-Za-z_][\w.]*\w\]\]?",
+    "bracket name": r"\[\[?[A-Za-z_][\w.]*\w\]\]?|\[[A-Z][A-Z]+(?: [A-Z]{2,}){1,4}\]|<[A-Z][A-Z]+(?: [A-Z]{2,}){1,4}>",
     "order": r"(?i:\[\[?(?:[^\[\]\n]*\b)?(?:insert|your|placeholder|to add|to be \w+|tbd|tba|todo|fill in|here goes|einfügen|ausfüllen|ergänzen|à compléter|à remplir|insérer|insertar|completar|rellenar|inserir|preencher)(?:\b[^\[\]\n]*)?\]\]?|\[[^\[\]\n]{0,20}(?:待补|填写|插入|भरें|जोड़ें)[^\[\]\n]{0,20}\]|\((?:insert|enter your|einfügen|insérer|insertar|inserir):? [\w. ]{2,40}\))",
-    "blank": r"\([^()\n]{3,60}\)_{3,}|(?m:^[\w ]{2,30}: ?_{4,}\s*$)",
+    "blank": r"\([^()\n]{3,60}\)_{3,}|(?m:^[\w ]{2,30}: ?_{4,}\s*$)|(?m:^(?i:dear|hello|hi|liebe[rs]?|sehr geehrte[rs]?|chère?|bonjour|querid[oa]|estimad[oa]|car[oa]|olá|प्रिय|亲爱的) *_{3,})",
     "value": r"\[object Object\]|\bNaN ?%|(?m:^\s*undefined\s*$)|\b(?:Dear|Hello|Hi|Unit:?|[Cc]ourse|lesson on|learn how|Definition of|See also:|by|with) undefined\b",
     "format": r"(?<![\w%])%[sd](?!\w)|(?<![{\\\w^_])(?<!\}, )\{\d\}(?!\}|, ?\{)",
 }
 _SLOT = re.compile("|".join(f"(?P<g{i}>{p})" for i, p in enumerate(SLOTS.values())))
-_MAYBE_SLOT = re.compile(r"[{<%@$]|\[(?!\d+:\d)|#\{|__|::|undefined|NaN|\((?i:insert|enter|einf|ins[eé]r)")
+_MAYBE_SLOT = re.compile(r"[{<%@$]|\*\||\|\*|___|\[(?!\d+:\d)|#\{|__|::|undefined|NaN|\((?i:insert|enter|einf|ins[eé]r)")
 _CODE = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|`[^`\n]+`|<(code|pre)\b.*?</\1>", re.S)
 _SENTENCE = re.compile(r"[^\n]+?(?:[.!?;。！？；।](?=\s|$)|$)|[^\n。！？；।]+[。！？；।]", re.M)
 
@@ -66,30 +70,22 @@ _NOTICE = re.compile(
 _ERROR = re.compile(
     r"(?i)(?:could|can|did|was) ?not (?:be )?(?:load|connect|f[io]u?nd|display|open|locat|reach|answer|render|process|establish)|(?:couldn|can|didn)['’]t (?:be )?(?:load|connect|find|display|open|locat|reach)|unable to|failed to|\bnot found\b|no longer (?:here|available|exists?)|(?:been|was) (?:moved|removed|deleted)|down for maintenance|unexpected (?:problem|error)|empty (?:reply|response)|"
     r"can ?not (?:start|run|work|be (?:shown|opened|displayed))|timed? ?out|(?:access|permission) (?:is )?denied|permission to|session (?:has )?expired|(?:sign|log) ?in (?:again|to continue)|too many requests|rate.?limit|retry after|bad gateway|bad request|internal server error|service unavailable|gateway time|\bforbidden\b|unauthori[sz]ed|try again|go back to the|report this|request id|contact the|traceback|^\s*file \"[^\"]+\", line|"
-    r"\b\w*(?:error|exception): ?['\"\w]|\bfatal\b|something went wrong|page is gone|\boops\b|^\s*(?:error|http|warning|sorry)\b|\bloading\b|please wait|checking your browser|"
+    r"(?:error|exception): ?['\"\w]|\bfatal\b|something went wrong|page is gone|\boops\b|^\s*(?:error|http|warning|sorry)\b|\bloading\b|please wait|checking your browser|"
     r"nicht (?:gefunden|(?:mehr )?verfügbar|geladen)|zugriff verweigert|fehler (?:\d|ist|beim|aufgetreten)|ein fehler|später (?:erneut|noch)|sitzung (?:ist )?abgelaufen|introuvable|n['’]existe (?:plus|pas)|(?:été|est) (?:déplacée?|supprimée?)|accès refusé|erreur|réessaye|session (?:a )?expiré|une erreur|"
     r"algo salió mal|no (?:pudimos|se pudo|se encontr|existe)|no encontrada|acceso denegado|inténte|código \d|(?:la )?sesión (?:ha )?(?:caducado|expirado)|algo (?:deu|correu) (?:errado|mal)|não (?:foi possível|encontrad|existe|conseguimos)|acesso negado|tente (?:novamente|de novo)|sessão (?:expirou|expirada)|\berro \d|"
     r"उपलब्ध नहीं|त्रुटि|फिर प्रयास|नहीं मिला|अनुमति नहीं|लोड नहीं|不存在|被删除|错误代码|返回首页|无法(?:加载|访问|显示)|拒绝访问|访问被拒|稍后(?:再|重)试|找不到|出错|已过期"
 )
 _SCRIPT = re.compile(
-    r"(?i)(?=.*(?:java ?script|\bscript(?:s|ing)?\b|\bcookies?\b|\bjs\b|स्क्रिप्ट|कुकी|脚本))"
+    r"(?i)\A(?=.*(?:java ?script|\bscript(?:s|ing)?\b|\bcookies?\b|\bjs\b|स्क्रिप्ट|कुकी|脚本))"
     r".*(?:enabl|allow|activ|aktiv|habilit|ativ[ae]|permit|turn|switch|need|must|requir|disable|blocks?\b|blocker|support|sans |without|accept|akzept|erforderlich|notwendig|nécessaire|necesari|necessári|सक्षम|चालू|启用|允许|开启)"
 )
 _NEUTRAL = re.compile(r"(?i)^\W*(?:home|courses|help|contact|menu|search|login)(?: \| \w+)*\W*$|^\W*\(?(?:unit|lab|ref|code|viewer build|build|lesson|id|no)\.? ?#?[\w-]*\)?\W*$|^[\W\d_]*$|^\S+/\d+$")
 _FILLER = re.compile(r"(?i)lorem ipsum|dolor sit amet|consectetur adipi|\btext goes here|\bblindtext\b|your (?:\w+ ){1,3}(?:goes )?here|\b(?:sample|dummy|placeholder|filler) (?:heading|text|title|caption)|caption here|heading level|\bblah\b|\b(?:x{2,} ?){3,}|asdf|qwert[yz]|hier steht text|texto de (?:ejemplo|exemplo|relleno)|texte? (?:factice|d['’]exemple)|占位(?:符|文字)|示例文字")
-_RATE = re.compile(r"rate.?limit")
-#: Every cue holds one of these, or _RATE, in lower case; texts without any aren't looked at sentence by sentence.
-STEMS = (
-    "coming soon", "been written", "yet written", "not published", "not available", "not yet", "been published", "been available", "construction", "to be added", "to be written", "to be announced", "to be completed", "to be continued", "todo", "write this section", "content is", "content pending", "content missing", "content to follow", "content will", "check back", "no content", "is empty", "still empty",
-    "noch leer", "inhalt folgt", "in kürze", "im aufbau", "in bearbeitung", "folgt demnächst", "contenido pendiente", "vuelva a visitar", "próximamente", "construcción", "aún no", "à venir", "bientôt", "pas encore", "contenu en attente", "em breve", "construção", "conteúdo pendente", "ainda não",
-    "जल्द", "निर्माणाधीन", "अभी ", "建设中", "敬请期待", "即将", "待补充", "尚未", "内容待",
-    "not be ", "not load", "not connect", "not f", "not display", "not open", "not locat", "not reach", "not answer", "not render", "not process", "not establish", "n't ", "n’t ", "cannot", "can not", "unable to", "failed to", "no longer", "been moved", "been removed", "been deleted", "was moved", "was removed", "was deleted", "maintenance", "unexpected", "empty rep", "empty response",
-    "time out", "timed out", "timedout", "timeout", "denied", "permission", "expired", "sign in", "signin", "log in", "login", "too many requests", "retry after", "gateway", "bad request", "server error", "unavailable", "forbidden", "unauthori", "try again", "go back to the", "report this", "request id", "contact the", "traceback", "file \"", "error", "exception", "fatal", "went wrong", "is gone", "oops", "http", "warning", "sorry", "loading", "please wait", "checking your",
-    "nicht gefunden", "nicht verfügbar", "nicht mehr", "nicht geladen", "zugriff", "fehler", "später", "sitzung", "introuvable", "n'existe", "n’existe", "déplacé", "supprimé", "accès refusé", "erreur", "réessaye", "session", "algo salió", "no pudimos", "no se pudo", "no se encontr", "no existe", "no encontrada", "acceso denegado", "inténte", "código", "sesión", "algo deu", "algo correu", "não foi possível", "não encontrad", "não existe", "não conseguimos", "acesso negado", "tente ", "sessão", "erro ",
-    "उपलब्ध नहीं", "त्रुटि", "फिर प्रयास", "नहीं मिला", "अनुमति नहीं", "लोड नहीं", "不存在", "被删除", "错误代码", "返回首页", "无法", "拒绝", "访问被拒", "稍后", "找不到", "出错", "已过期",
-    "javascript", "java script", "script", "cookie", "js", "स्क्रिप्ट", "कुकी", "脚本",
-    "lorem ipsum", "dolor sit", "consectetur", "goes here", "blindtext", " here", "sample ", "dummy ", "placeholder ", "filler ", "caption here", "heading level", "blah", "xx", "asdf", "qwert", "steht text", "texto de", "factice", "d'exemple", "d’exemple", "占位", "示例文字",
-)
+_CUES = (("filler", _FILLER), ("script demand", _SCRIPT), ("notice", _NOTICE), ("error", _ERROR))
+# One pass over a sentence tells which patterns can match at all: a bit for each part of messages, then for each alternative of a cue.
+_EACH = [(kind, one) for kind, cue in _CUES for one in alternatives(cue)]
+_CAN = Finder([*PARTS.values(), *[one for _, one in _EACH]])
+_PART_BITS = (1 << len(PARTS)) - 1
 _WORD = re.compile(r"[぀-ヿ㐀-䶿一-鿿]|(?:[^\W\d_぀-ヿ㐀-䶿一-鿿]|[ऀ-ॣ])+")
 # Commonest words of the corpus languages written in Latin script; a real text of some length has some of them.
 FUNCTION_WORDS = set(
@@ -102,6 +98,8 @@ FUNCTION_WORDS = set(
 #: Words from which the shares are judged; largest share of different words in a repeated filler, of common words in gibberish; share of
 #: the text that cues must hold.
 LEAST_WORDS, REPEATED, COMMON, HELD = 12, 0.15, 0.1, 0.6
+#: Words of a line of navigation at most.
+NAVIGATION = 20
 
 
 def _plain(name: str) -> str:
@@ -151,8 +149,18 @@ def open_slots(text: str) -> list[tuple[str, str]]:
     return [(k, s) for k, s, by_itself in found if s not in discussed and not (k == "bracket name" and s.lower() == s and not re.search(r"[_.]", s) and not by_itself and alone[s] < 2 and len(found) < 2)]
 
 
-def may_hold_cue(low: str) -> bool:
-    return any(stem in low for stem in STEMS) or bool(_RATE.search(low))
+def sentence_kind(s: str, weight: int) -> str | None:
+    """What a sentence is a cue for: by the fixed cues, else by the grammar of messages; one that is about such things is none."""
+    may = _CAN.bits(s.lower())
+    cues, parts = may >> len(PARTS), may & _PART_BITS
+    if not (cues or possible(parts)) or (_ABOUT.search(s) and not s.startswith("Traceback")):
+        return None
+    while cues:
+        kind, one = _EACH[(cues & -cues).bit_length() - 1]
+        if one.search(s):
+            return kind
+        cues &= cues - 1
+    return message_kind(s, weight, parts) if possible(parts) else None
 
 
 def whole_text_reason(text: str) -> str | None:
@@ -165,18 +173,14 @@ def whole_text_reason(text: str) -> str | None:
             return "filler"
         if n >= 2 * LEAST_WORDS and sum(w in FUNCTION_WORDS for w in words) <= COMMON * n and all("a" <= w[0] <= "z" and len(w) > 1 for w in words):
             return "filler"
-    if not may_hold_cue(low):
-        return None
     held, size, other = Counter(), 0, 0
     for m in _SENTENCE.finditer(text):
         s = m.group().strip()
-        if not s or _NEUTRAL.search(s):
-            continue
         weight = len(_WORD.findall(s))
+        if not s or (weight <= NAVIGATION and _NEUTRAL.search(s)):
+            continue
         size += weight
-        kind = None
-        if not _ABOUT.search(s) or s.startswith("Traceback"):
-            kind = next((k for k, cue in (("filler", _FILLER), ("script demand", _SCRIPT), ("notice", _NOTICE), ("error", _ERROR)) if cue.search(s)), None)
+        kind = sentence_kind(s, weight)
         if kind:
             held[kind] += weight
         else:
