@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import os
 import re
 from collections.abc import Iterator
 
@@ -11,11 +12,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+#: The vocabulary file, and the session setting that names another.
+VOCABULARY, VOCABULARY_KEY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken", "spark.conceptloom.vocabulary"
 #: Labelled sentences and labelled items read at most to fit the model; EM rounds; share of probability spread evenly over all pieces.
 MAX_SAMPLES, MAX_LABELLED, ROUNDS, EVEN = 10_000, 3_000, 6, 0.1
-#: Longest piece and longest run of bytes scored as one; longer runs are scored in parts.
-PIECE_BYTES, RUN_BYTES = 14, 42
+#: Longest run of bytes whose segmentations are summed as one; longer words are summed in runs, when fitted as when scored.
+RUN_BYTES = 42
 #: A word speaks against a language by so many nats at most; the price of a change of language inside and between sentences.
 AGAINST, CHANGE_INSIDE, CHANGE_AT_STOP = 6.0, 14.0, 5.0
 #: A stretch holds a full sentence from so many words (or characters of scripts without spaces) and nats of evidence.
@@ -41,17 +43,23 @@ def _hash(data: bytes) -> int:
 
 def read_pieces(path: str = VOCABULARY) -> np.ndarray:
     """Sorted hashes of the pieces of a public vocabulary (one base64 piece and rank a line), single bytes included."""
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no vocabulary at {path}: name a .tiktoken file as vocabulary=, or in the setting {VOCABULARY_KEY}")
     with open(path, "rb") as f:
         pieces = {base64.b64decode(line.split()[0]) for line in f if line.strip()}
     pieces |= {bytes([b]) for b in range(256)}
-    hashes = np.unique(np.array([_hash(p) for p in pieces if len(p) <= PIECE_BYTES], dtype=np.uint64))
-    return hashes
+    return np.unique(np.array([_hash(p) for p in pieces], dtype=np.uint64))
 
 
 def _bytes_of(word: str) -> bytes:
     return word.encode("utf-8", "replace") if _IS_HAN.match(word) else b" " + word.encode("utf-8", "replace")
 
 
+def _runs(word: str) -> list[bytes]:
+    data = _bytes_of(word)
+    return [data[k : k + RUN_BYTES] for k in range(0, len(data), RUN_BYTES)]
+
+
 class Lattice:
     """All segmentations of many words of like length into pieces."""
 
@@ -64,19 +72,22 @@ class Lattice:
         # piece[l-1][:, i]: number of the piece of l bytes that starts at i, or -1
         self.piece: list[np.ndarray] = []
         h = np.zeros((self.n, self.length), dtype=np.uint64)
-        for size in range(1, min(PIECE_BYTES, self.length) + 1):
+        for size in range(1, self.length + 1):  # no piece is longer than a run
             starts = self.length - size + 1
             h = h[:, :starts] * _PRIME + raw[:, size - 1 :]
             at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
             inside = np.arange(starts)[None, :] + size <= self.size[:, None]
             self.piece.append(np.where((hashes[at] == h) & inside, at, -1))
+        self.sizes = [k + 1 for k, x in enumerate(self.piece) if (x >= 0).any()]
 
     def forward(self, p: np.ndarray) -> np.ndarray:
         """alpha[w, i, lang]: probability of the first i bytes of word w, summed over all segmentations. p has a last row of zeros."""
         alpha = np.zeros((self.n, self.length + 1, p.shape[1]))
         alpha[:, 0] = 1.0
         for end in range(1, self.length + 1):
-            for size in range(1, min(PIECE_BYTES, end) + 1):
+            for size in self.sizes:
+                if size > end:
+                    break
                 ids = self.piece[size - 1][:, end - size]
                 rows = np.flatnonzero(ids >= 0)
                 if len(rows):
@@ -92,7 +103,9 @@ class Lattice:
         beta = np.zeros_like(alpha)
         beta[np.arange(self.n), self.size] = 1.0
         for start in range(self.length - 1, -1, -1):
-            for size in range(1, min(PIECE_BYTES, self.length - start) + 1):
+            for size in self.sizes:
+                if size > self.length - start:
+                    break
                 ids = self.piece[size - 1][:, start]
                 rows = np.flatnonzero(ids >= 0)
                 if len(rows):
@@ -100,7 +113,9 @@ class Lattice:
         z = beta[:, 0]
         uses = np.zeros_like(p)
         for start in range(self.length):
-            for size in range(1, min(PIECE_BYTES, self.length - start) + 1):
+            for size in self.sizes:
+                if size > self.length - start:
+                    break
                 ids = self.piece[size - 1][:, start]
                 rows = np.flatnonzero(ids >= 0)
                 if len(rows):
@@ -135,7 +150,8 @@ class Model:
             for w in _TOKEN.findall(text.lower()):
                 if not _NO_WORD.match(w):
                     counts.setdefault(w, np.zeros(len(languages)))[languages.index(lang)] += 1
-        words, weight = [_bytes_of(w)[:RUN_BYTES] for w in counts], np.array(list(counts.values()))
+        runs = [(run, n) for w, n in counts.items() for run in _runs(w)]
+        words, weight = [run for run, _ in runs], np.array([n for _, n in runs])
         n = len(hashes)
         p = np.full((n + 1, len(languages)), 1.0 / n)
         p[n] = 0.0
@@ -150,9 +166,8 @@ class Model:
         """Evidence of each word: log probability by language less the best one's, bounded below."""
         runs, owner = [], []
         for i, w in enumerate(words):
-            data = _bytes_of(w)
-            for k in range(0, len(data), RUN_BYTES):
-                runs.append(data[k : k + RUN_BYTES])
+            for run in _runs(w):
+                runs.append(run)
                 owner.append(i)
         total = np.empty((len(runs), len(self.languages)))
         for rows in _by_length(runs):
@@ -270,15 +285,35 @@ class Detector:
         return [tuple(x) for x in kept]
 
 
-def fit_model(samples: DataFrame, items: DataFrame | None = None, vocabulary: str = VOCABULARY) -> Model:
-    """Fit on labelled rows (lang, text), at most MAX_SAMPLES of them in the order of sample_id.
+def drawn_samples(samples: DataFrame, most: int = MAX_SAMPLES) -> list[tuple[str, str]]:
+    """At most ``most`` labelled rows (lang, text), as many of each language, by a hash of their text, so that the order of the
+    table and its labels doesn't matter; a language with fewer has all of its rows in."""
+    rows = samples.select("lang", "text").dropna()
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1_000).collect()}
+    if not counts:
+        return []
+    each = max(1, most // len(counts))
+    # A share of the hash range of each language that holds about half as many again as wanted.
+    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(-(2.0**63) + min(1.0, 1.5 * each / n) * 2.0**64))])
+    h = F.xxhash64("lang", "text")
+    drawn = rows.withColumn("h", h).filter(F.col("h").cast("double") <= share[F.col("lang")]).orderBy("h", "text").limit(2 * most).collect()
+    taken: dict[str, int] = {}
+    out = []
+    for r in drawn:
+        taken[r["lang"]] = taken.get(r["lang"], 0) + 1
+        if taken[r["lang"]] <= each:
+            out.append((r["lang"], r["text"]))
+    return out
+
+
+def fit_model(samples: DataFrame, items: DataFrame | None = None, vocabulary: str | None = None) -> Model:
+    """Fit on labelled rows (lang, text), at most MAX_SAMPLES of them, as many of each language.
 
     With items (item_id, label, text), the model so fitted reads up to MAX_LABELLED of their labelled rows, drawn by a hash
     of their id, keeps those that it finds to be wholly in the language of their label, and is fitted on both. Without any
     labelled sentence the model knows no language, and nothing is detected.
     """
-    rows = samples.select("sample_id", "lang", "text").dropna().orderBy("sample_id").limit(MAX_SAMPLES).collect()
-    labelled, hashes = [(r["lang"], r["text"]) for r in rows], read_pieces(vocabulary)
+    labelled, hashes = drawn_samples(samples), read_pieces(vocabulary or samples.sparkSession.conf.get(VOCABULARY_KEY, VOCABULARY))
     if not labelled:
         return Model([], hashes, np.empty((0, 0)))
     model = Model.fit(labelled, hashes)

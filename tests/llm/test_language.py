@@ -74,3 +74,34 @@ def test_forgetting_words_changes_nothing(model, monkeypatch):
     monkeypatch.setattr(g, "KNOWN_WORDS", 20)
     d = g.Detector(model)
     assert [x for t in texts for x in d.stretches([t])] == whole
+
+
+def test_mixed_stretches_of_sentences_never_seen(samples):
+    """Texts of two languages put together from held-out sentences: both must come out. The recall is the figure in README."""
+    rows = [(r.lang, r.text) for r in samples.orderBy("sample_id").collect()]
+    right = total = wrong = 0
+    for fold in range(5):
+        train, test = [x for i, x in enumerate(rows) if i % 5 != fold], [x for i, x in enumerate(rows) if i % 5 == fold]
+        d = g.Detector(g.Model.fit(train, g.read_pieces()))
+        mixed = [(a, b) for i, a in enumerate(test) for b in test[i + 1 :: 6] if a[0] != b[0]]
+        for (a, b), found in zip(mixed, d.stretches([f"{a[1]} {b[1]}" for a, b in mixed])):
+            got = {d.model.languages[x[2]] for x in found}
+            right += len(got & {a[0], b[0]})
+            wrong += len(got - {a[0], b[0]})
+            total += 2
+    print(f"mixed stretches: {right} of {total}, {wrong} wrong")
+    assert right >= 0.9 * total and wrong <= 0.02 * total
+
+
+def test_samples_are_drawn_from_every_language(spark):
+    rows = [("a", f"text {i}") for i in range(500)] + [("b", f"other {i}") for i in range(40)] + [("c", "one"), (None, "x"), ("c", None)]
+    got = g.drawn_samples(spark.createDataFrame(rows, "lang string, text string"), 90)
+    assert {lang: sum(x == lang for x, _ in got) for lang in "abc"} == {"a": 30, "b": 30, "c": 1}
+    with pytest.raises(FileNotFoundError, match="vocabulary"):
+        g.read_pieces("/none")
+
+
+def test_long_words_count_whole():
+    hashes = g.read_pieces()
+    long = g.Model.fit([("a", "é" * 25 + "qqqqzz"), ("b", "é" * 25 + "wwwwvv")], hashes, rounds=2)
+    assert long.score(["é" * 25 + "qqqqzz"]).argmax() == 0 and long.score(["é" * 25 + "wwwwvv"]).argmax() == 1
