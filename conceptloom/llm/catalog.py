@@ -29,6 +29,16 @@ def p1_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_items(_items(spark, d).filter("char_length(text) > 2000").dropDuplicates(["item_table", "item_id"]))
 
 
+def p1_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The text that each oversized item's pieces give back, and whether all pieces are within the limit and overlap."""
+    pieces = p1_pieces(spark, d)
+    fresh = F.expr("substring(piece_text, overlap + 1)")
+    whole = F.array_sort(F.collect_list(F.struct("piece", fresh.alias("t"))))
+    fine = (F.char_length("piece_text") <= 2000) & F.when(F.col("piece") == 1, F.col("overlap") == 0).otherwise(F.col("overlap").between(1, 108))
+    got = pieces.groupBy("item_table", "item_id").agg(whole.alias("w"), F.bool_and(fine).alias("fine"), (F.max("piece") == F.count(F.lit(1))).alias("numbered"))
+    return got.select("item_table", "item_id", F.md5(F.array_join(F.transform("w", lambda x: x.t), "")).alias("text_md5"), "fine", "numbered")
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return frame_units(table(spark, d, "stage2_selected_frames"), table(spark, d, "stage3_transcripts")).select("frame_path", "unit_id")
 
@@ -82,7 +92,16 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_leaks(spark: SparkSession, d: str) -> DataFrame:
-    return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+    """Leaks by a run of ten words or by tiles that cover half of the item, passages in another order included."""
+    return leaks(table(spark, d, "documents"), table(spark, d, "eval_items"), least_coverage=0.5)
+
+
+def p9_classes(spark: SparkSession, d: str) -> DataFrame:
+    """For each passage text, as copies of a document are one class: its documents' class, its number of copies and of leaked items."""
+    documents = table(spark, d, "documents")
+    found = leaks(documents, table(spark, d, "eval_items")).select("item_id", "doc_id")
+    class_ = documents.select("doc_id", F.md5("text").alias("class_id"))
+    return found.join(class_, "doc_id").groupBy("class_id").agg(F.count_distinct("doc_id").alias("n_documents"), F.count_distinct("item_id").alias("n_items"), F.min("doc_id").alias("first_doc"))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
@@ -95,7 +114,7 @@ def p10_reasons(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_pieces, p2_found, p2_frames, p3_found, p3_groups, p5_found, p5_concepts, p5_aliases, p7_found, p7_segments, p8_sequences, p9_found, p9_leaks, p10_found, p10_reasons)
+    for f in (p1_found, p1_pieces, p1_round_trip, p2_found, p2_frames, p3_found, p3_groups, p5_found, p5_concepts, p5_aliases, p7_found, p7_segments, p8_sequences, p9_found, p9_leaks, p9_classes, p10_found, p10_reasons)
 }
 
 
@@ -150,6 +169,16 @@ SQL = {
     "p1_found": """SELECT DISTINCT * FROM (
   SELECT 'stage3_transcripts' AS item_table, unit_id AS item_id FROM stage3_transcripts WHERE length(raw_text) > 2000
   UNION ALL SELECT 'stage5_segments', segment_id FROM stage5_segments WHERE length(merged_text) > 2000)""",
+    "p1_round_trip": """SELECT DISTINCT item_table, item_id, md5(text) AS text_md5, true AS fine, true AS numbered FROM (
+  SELECT 'stage3_transcripts' AS item_table, unit_id AS item_id, raw_text AS text FROM stage3_transcripts WHERE length(raw_text) > 2000
+  UNION ALL SELECT 'stage5_segments', segment_id, merged_text FROM stage5_segments WHERE length(merged_text) > 2000)""",
+    "p9_classes": """WITH runs AS (
+  SELECT id, is_doc, array_to_string(w[i : i + 9], ' ') AS run FROM (
+    SELECT id, is_doc, w, unnest(range(1, len(w) - 8)) AS i FROM (
+      SELECT doc_id AS id, true AS is_doc, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents
+      UNION ALL SELECT item_id, false, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') FROM eval_items))),
+found AS (SELECT DISTINCT i.id AS item_id, d.id AS doc_id FROM runs i JOIN runs d ON d.run = i.run AND d.is_doc AND NOT i.is_doc)
+SELECT md5(text) AS class_id, count(DISTINCT doc_id) AS n_documents, count(DISTINCT item_id) AS n_items, min(doc_id) AS first_doc FROM found JOIN documents USING (doc_id) GROUP BY 1""",
     "p2_found": _NEAREST + "SELECT frame_path, unit_id FROM best",
     "p2_frames": _NEAREST + "SELECT f.frame_path, best.unit_id, best.distance FROM (SELECT DISTINCT frame_path FROM stage2_selected_frames) f LEFT JOIN best USING (frame_path)",
     "p3_found": _GROUPS + "SELECT group_id, concept_id FROM groups WHERE group_id < concept_id",

@@ -16,39 +16,27 @@ def _finite(c: Column) -> Column:
     return c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))
 
 
-def neighbour_intervals(spans: DataFrame, tolerance: float, scratch: Scratch | None = None) -> DataFrame:
-    """For spans (entity, a, b, item), intervals (entity, since, until, item, lo, hi, a) that hold every time at which
-    the span can be the nearest.
-
-    Within a span its distance is 0, and the interval is the span itself, cut where a span that starts later and ends
-    no earlier takes over. Runs of overlapping spans leave gaps; a gap is halved at its midpoint, each half no wider than
-    the tolerance, and given to the best span that ends or starts there. The intervals are slightly widened: they may
-    overlap where distances tie, and the final choice among matches is exact.
+def _distinct_spans(spans: DataFrame, scratch: Scratch) -> DataFrame:
+    rows = spans.filter(_finite(F.col("a")) & _finite(F.col("b"))).groupBy("entity", "a", "b").agg(F.min("item").alias("item"))
+    return scratch.save(rows.withColumns({"lo": F.least("a", "b"), "hi": F.greatest("a", "b")}), "spans")
+
+
+def neighbour_intervals(rows: DataFrame, tolerance: float, scratch: Scratch) -> DataFrame:
+    """For spans (entity, a, b, item, lo, hi), intervals (entity, since, until, item, lo, hi, a) that hold every time outside all
+    whole cells of a span at which it can be the nearest.
+
+    Runs of overlapping spans leave gaps; a gap is halved at its midpoint, each half no wider than the tolerance, and given
+    to the best span that ends or starts there. Within a span its distance is 0; of it these intervals are the two ends that
+    don't fill a cell of the shortest width. They are slightly widened: they may overlap where distances tie, and the final
+    choice among matches is exact.
     """
-    scratch = scratch or Scratch(spans.sparkSession, "intervals")
-    rows = (
-        spans.filter(_finite(F.col("a")) & _finite(F.col("b")))
-        .groupBy("entity", "a", "b")
-        .agg(F.min("item").alias("item"))
-        .withColumns({"lo": F.least("a", "b"), "hi": F.greatest("a", "b")})
-    )
-    rows = scratch.save(rows, "spans")
     chunk = F.floor(F.col("lo") / F.lit(CHUNK))
-    starts = rows.groupBy("entity", "lo").agg(
-        F.max("hi").alias("hi"),
-        F.min(F.struct(F.col("a").alias("a"), F.col("item").alias("item"), F.col("b").alias("b"))).alias("first"),
-        F.max(F.when(F.col("a") <= F.col("b"), F.col("hi"))).alias("forward_hi"),
-    )
-    starts = starts.withColumn("nxt", F.when(F.col("forward_hi").isNotNull(), F.struct(F.col("lo").alias("lo"), F.col("forward_hi").alias("hi"))))
-    starts = running_extremes(starts, ["entity"], "lo", chunk, max_before={"reached": "hi"}, min_after={"later": "nxt"})
-    starts = scratch.save(starts.select("entity", "lo", "first", "reached", "later"), "starts")
-
-    inside = rows.join(starts.select("entity", "lo", "later"), ["entity", "lo"]).select(
-        "entity",
-        F.col("lo").alias("since"),
-        F.when((F.col("a") <= F.col("b")) & (F.col("later.lo") <= F.col("hi")) & (F.col("later.hi") >= F.col("hi")), F.col("later.lo")).otherwise(F.col("hi")).alias("until"),
-        "item", "lo", "hi", "a",
-    )
+    starts = rows.groupBy("entity", "lo").agg(F.max("hi").alias("hi"), F.min(F.struct(F.col("a").alias("a"), F.col("item").alias("item"), F.col("b").alias("b"))).alias("first"))
+    starts = scratch.save(running_extremes(starts, ["entity"], "lo", chunk, max_before={"reached": "hi"}).select("entity", "lo", "first", "reached"), "starts")
+    first, last = F.ceil(F.col("lo") / F.lit(BASE)) * F.lit(BASE), F.floor(F.col("hi") / F.lit(BASE)) * F.lit(BASE)
+    end = lambda x, y: F.struct(x.cast("double").alias("since"), y.cast("double").alias("until"))
+    ends = F.when(first < last, F.array(end(F.col("lo"), first), end(last, F.col("hi")))).otherwise(F.array(end(F.col("lo"), F.col("hi"))))
+    inside = rows.withColumn("e", F.explode(ends)).select("entity", "e.since", "e.until", "item", "lo", "hi", "a")
     runs = starts.filter(F.col("reached").isNull() | (F.col("reached") < F.col("lo")))
     gap = F.coalesce((F.col("lo") + F.col("reached")) / 2, F.lit(float("-inf")))
     before = runs.select(
@@ -57,9 +45,9 @@ def neighbour_intervals(spans: DataFrame, tolerance: float, scratch: Scratch | N
     )
     # A run ends where the one after it says what was reached; the last run ends at the latest end.
     latest = rows.groupBy("entity").agg(F.max("hi").alias("hi")).select("entity", "hi", F.lit(float("inf")).alias("then"))
-    ends = runs.filter(F.col("reached").isNotNull()).select("entity", F.col("reached").alias("hi"), F.col("lo").alias("then")).unionByName(latest)
-    last = rows.groupBy("entity", "hi").agg(F.min(F.struct((-F.col("a")).alias("minus_a"), F.col("item").alias("item"), F.col("lo").alias("lo"))).alias("last"))
-    after = ends.join(last, ["entity", "hi"]).select(
+    stops = runs.filter(F.col("reached").isNotNull()).select("entity", F.col("reached").alias("hi"), F.col("lo").alias("then")).unionByName(latest)
+    best = rows.groupBy("entity", "hi").agg(F.min(F.struct((-F.col("a")).alias("minus_a"), F.col("item").alias("item"), F.col("lo").alias("lo"))).alias("last"))
+    after = stops.join(best, ["entity", "hi"]).select(
         "entity", F.col("hi").alias("since"), F.least(F.col("hi") + F.lit(tolerance), (F.col("hi") + F.col("then")) / 2).alias("until"),
         F.col("last.item").alias("item"), F.col("last.lo").alias("lo"), "hi", (-F.col("last.minus_a")).alias("a"),
     )
@@ -67,22 +55,50 @@ def neighbour_intervals(spans: DataFrame, tolerance: float, scratch: Scratch | N
     return inside.unionByName(before).unionByName(after).withColumns({"since": F.col("since") - slack(F.col("since")), "until": F.col("until") + slack(F.col("until"))})
 
 
+def whole_cells(rows: DataFrame) -> DataFrame:
+    """(entity, class, cell, item, lo, hi, a): for cells of width BASE * 2^class that spans fill, the span that begins nearest of
+    those that begin before, and of those that begin (reversed) after every time in it.
+
+    A span fills at most two cells of each width that no larger one of its cells holds, and of all spans that fill a cell only
+    these two can be the nearest at a time inside: spans nested in one another, however deep, leave two candidates.
+    """
+    least, beyond = F.ceil(F.col("lo") / F.lit(BASE)), F.floor(F.col("hi") / F.lit(BASE))
+    filled = rows.withColumns({"__l": least, "__r": beyond}).filter("__l < __r")
+    widest = filled.agg(F.max(F.col("__r") - F.col("__l"))).first()[0] or 0
+
+    def of_class(k: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), k)
+        low, high = F.ceil(F.col("__l") / size).cast("long"), F.floor(F.col("__r") / size).cast("long")
+        odd = lambda x: F.pmod(x, F.lit(2)) == 1
+        one = F.when((low < high) & odd(low), low)
+        two = F.when((low < high) & odd(high), high - 1)
+        return F.transform(F.filter(F.array(one, two), lambda c: c.isNotNull()), lambda c: F.struct(k.alias("class"), c.alias("cell")))
+
+    classes = F.sequence(F.lit(0), F.lit(int(widest).bit_length()))
+    cells = filled.withColumn("c", F.explode(F.flatten(F.transform(classes, of_class)))).select("entity", "c.class", "c.cell", "item", "lo", "hi", "a", (F.col("a") > F.col("lo")).alias("__back"))
+    near = F.when(F.col("__back"), F.col("a")).otherwise(-F.col("a"))
+    best = cells.groupBy("entity", "class", "cell", "__back").agg(F.min(F.struct(near.alias("n"), "item", "lo", "hi", "a")).alias("m"))
+    return best.select("entity", "class", "cell", "m.item", "m.lo", "m.hi", "m.a")
+
+
 def nearest_match(left: DataFrame, spans: DataFrame, tolerance: float) -> DataFrame:
     """The nearest span of the same entity for each left row (key, entity, at): (key, item, distance).
 
-    Range join through an interval index: an interval of class k is no longer than BASE * 2^k and lies in at most two
-    cells of that width; a time looks into one cell of each class in use. Cells split a hot entity. Distance is 0 from
-    the smaller to the larger end and otherwise the gap to the nearer one; among equal distances the smallest
-    |at - a| wins, then the smaller item. Rows without a span within the tolerance, or without time, do not come out.
-    A key whose rows differ gets the best match of any of them.
+    Range join through interval indexes: an interval of class k is no longer than BASE * 2^k and lies in at most two cells of
+    that width, and cells that a span fills hold at most two candidates; a time looks into one cell of each class in use.
+    Cells split a hot entity. Distance is 0 from the smaller to the larger end and otherwise the gap to the nearer one; among
+    equal distances the smallest |at - a| wins, then the smaller item. Rows without a span within the tolerance, or without
+    time, do not come out. A key whose rows differ gets the best match of any of them.
     """
     scratch = Scratch(left.sparkSession, "nearest")
+    rows = _distinct_spans(spans, scratch)
     length = F.greatest(F.col("until") - F.col("since"), F.lit(BASE))
     class_ = F.ceil(F.log2(length / F.lit(BASE))).cast("int")
-    intervals = neighbour_intervals(spans, tolerance, scratch).withColumn("class", class_).withColumn("width", F.lit(BASE) * F.pow(F.lit(2.0), F.col("class")))
-    intervals = scratch.save(intervals, "intervals")
-    classes = [r[0] for r in intervals.select("class").distinct().collect()]  # at most one for each power of two
+    intervals = neighbour_intervals(rows, tolerance, scratch).withColumn("class", class_).withColumn("width", F.lit(BASE) * F.pow(F.lit(2.0), F.col("class")))
     cells = intervals.withColumn("cell", F.explode(F.sequence(F.floor(F.col("since") / F.col("width")), F.floor(F.col("until") / F.col("width"))))).drop("width")
+    whole = whole_cells(rows).withColumns({"since": F.lit(float("-inf")), "until": F.lit(float("inf"))})
+    cells = scratch.save(cells.select("entity", "class", "cell", "since", "until", "item", "lo", "hi", "a").unionByName(whole), "cells")
+    classes = [r[0] for r in cells.select("class").distinct().collect()]  # at most one for each power of two
     looks = F.explode(F.array(*[F.struct(F.lit(c).alias("class"), F.floor(F.col("at") / F.lit(BASE * 2.0**c)).alias("cell")) for c in classes])) if classes else None
     times = left.filter(_finite(F.col("at"))).select("key", "entity", "at").distinct()
     if looks is None:

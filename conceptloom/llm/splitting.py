@@ -41,7 +41,6 @@ class _Table:
     def __init__(self, texts: list[str], limit: int, overlap: int) -> None:
         self.base = np.cumsum([0] + [len(t) + 1 for t in texts])[:-1]
         at, kind, begins, last = [], [], [], []
-        stride = limit - overlap - 16
         for i, text in enumerate(texts):
             levels = [_ends(p, text) for p in (_STOP, _CLAUSE, _WORD_END)]
             n = len(text)
@@ -52,12 +51,6 @@ class _Table:
             keep = np.append(True, p[1:] != p[:-1])
             p, k = p[keep], k[keep]
             k[p == n] = 4
-            wide = np.flatnonzero(np.diff(p) > stride)
-            hard = [_off_mark(text, int(x)) for w in wide for x in range(int(p[w]) + stride, int(p[w + 1]), stride)]
-            if hard:
-                p, k = np.concatenate([p, hard]), np.concatenate([k, np.full(len(hard), 3)])
-                order = np.argsort(p, kind="stable")
-                p, k = p[order], k[order]
             # Each boundary's piece begins at the first word that starts at most ``overlap`` before it.
             words = _ends(_WORD_START, text)
             begin = np.maximum(p - overlap, 0)
@@ -67,20 +60,35 @@ class _Table:
                 begin = np.where((j < len(words)) & (word <= p - overlap // 2), word, begin)
             begin = np.array([_off_mark(text, int(b)) for b in begin], dtype=np.int64)
             begin[p == 0] = 0
+            # Where the next pause lies beyond the limit, cuts come at the limit itself, one after another.
+            hard = []
+            for w in np.flatnonzero(p[1:] - begin[:-1] > limit):
+                x = int(begin[w])
+                while x + limit < p[w + 1]:
+                    cut = _off_mark(text, x + limit)
+                    x = _off_mark(text, cut - overlap)
+                    hard.append((cut, x))
+            if hard:
+                p, k, begin = np.concatenate([p, [c for c, _ in hard]]), np.concatenate([k, np.full(len(hard), 3)]), np.concatenate([begin, [x for _, x in hard]])
+                order = np.argsort(p, kind="stable")
+                p, k, begin = p[order], k[order], begin[order]
             at.append(p + self.base[i])
             kind.append(k)
             begins.append(begin + self.base[i])
             last.append(np.full(len(p), n + self.base[i]))
         self.at, self.kind, self.begin, last = (np.concatenate(x).astype(np.int64) for x in (at, kind, begins, last))
-        # Join each boundary with its farthest legal successor: the farthest stop in reach, else clause mark, space, hard cut.
+        # Join each boundary with its farthest legal successor: the farthest stop in reach that fills half the limit, else clause
+        # mark, else space; without such a pause the farthest of any kind, and only without any a hard cut.
         reach = np.minimum(self.begin + limit, last)
         index = np.arange(len(self.at))
         following = index.copy()
-        for level in (3, 2, 1, 0):
+        for level, fill in ((3, 0), (2, 0), (1, 0), (0, 0), (2, limit // 2), (1, limit // 2), (0, limit // 2)):
             rows = np.flatnonzero((self.kind <= level) | (self.kind == 4)) if level < 3 else index
             j = np.searchsorted(self.at[rows], reach, side="right") - 1
             far = rows[np.maximum(j, 0)]
-            following = np.where((j >= 0) & (far > index), far, following)
+            following = np.where((j >= 0) & (far > index) & (self.at[far] - self.begin >= fill), far, following)
+        whole = np.searchsorted(self.at, last)  # what reaches the end of the text ends there
+        following = np.where((reach == last) & (whole > index), whole, following)
         self.following = np.where(self.at == last, index, following)
 
     def cuts(self) -> np.ndarray:
@@ -118,10 +126,10 @@ SCHEMA = "item_table string, item_id string, piece int, start int, `end` int, ov
 def split_items(items: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """Pieces of the items (item_table, item_id, text) with more than ``limit`` Unicode characters.
 
-    A piece has at most ``limit`` characters, ends where the text last pauses within reach (sentence or line end, else
-    clause mark, else white space, and only without any of these elsewhere) and begins up to ``overlap`` characters
-    before the end of the piece before it, at a word if one starts there. text[start + overlap : end] of all pieces,
-    joined, is the text. Null and empty texts, and texts up to the limit, give no pieces. Only oversized rows reach
+    A piece has at most ``limit`` characters. It ends where the text last pauses within reach and beyond half the limit: at a
+    sentence or line end, else a clause mark, else white space; without such a pause at the last one of the first half, and
+    only without any at the limit itself. It begins up to ``overlap`` characters before the end of the piece before it, at a
+    word if one starts there. text[start + overlap : end] of all pieces, joined, is the text. Null and empty texts, and texts up to the limit, give no pieces. Only oversized rows reach
     Python, nothing is shuffled; repeat rows give repeated pieces.
     """
     if not 0 <= overlap <= limit // 2 - 16:

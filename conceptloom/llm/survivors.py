@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from conceptloom.functions.text import id_form, name_form, strip_blanks
 
-#: Parts into which each group is cut for the first ranking, so that no group is ordered in one task.
+#: Parts into which each group is cut for the first ranking at least, so that no group is ordered in one task; with more shuffle
+#: partitions there are as many parts as partitions.
 SALTS = 32
 
 
-def best_rows(rows: DataFrame, group: str, item: str, orders: dict[str, list[Column]], salts: int = SALTS) -> DataFrame:
+def best_rows(rows: DataFrame, group: str, item: str, orders: dict[str, list[Column]], salts: int | None = None) -> DataFrame:
     """For each group with two different items or more, the top item by each order: (group, *orders).
 
     Window ranking in two steps: first within (group, salt), where all but the leaders drop out, then among the
     leaders. Orders must be total on items; repeat rows of an item change nothing.
     """
+    salts = salts or max(SALTS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64(item), F.lit(salts)))
     for keys in ([group, "__salt"], [group]):
         over = Window.partitionBy(*keys)
@@ -58,9 +60,13 @@ def merged_concepts(concepts: DataFrame, groups: DataFrame) -> DataFrame:
     frequencies over distinct members, the span of extraction times and the number of members."""
     chosen = choose_survivors(concepts, groups)
     fields = ("name", "type", "domain", "chapter_id", "source_type", "confidence", "definition", "frequency", "extracted_at")
-    rows = concepts.select(id_form("concept_id").alias("concept_id"), *fields).dropDuplicates(["concept_id"])
+    # Of repeat rows that differ the one that ranks first stands for its concept, as in the choice of survivors.
+    own = F.struct(F.coalesce(-trusted(), F.lit(1.0)).alias("t"), F.coalesce(-F.col("frequency").cast("double"), F.lit(float("inf"))).alias("f"), F.coalesce(-F.unix_micros("extracted_at"), F.lit((1 << 63) - 1)).alias("x"), F.struct(*[F.col(c) for c in fields if c not in ("confidence", "frequency", "extracted_at")]).alias("rest"))
+    row = F.struct(*fields)
+    rows = concepts.select(id_form("concept_id").alias("concept_id"), own.alias("o"), row.alias("r")).groupBy("concept_id").agg(F.min_by("r", "o").alias("r")).select("concept_id", "r.*")
     base = rows.select(F.col("concept_id").alias("survivor_id"), "name", "type", "domain", "chapter_id", "source_type", trusted().alias("confidence"))
-    text = rows.select(F.col("concept_id").alias("definition_id"), strip_blanks("definition").alias("definition"))
+    said = strip_blanks("definition")
+    text = concepts.select(id_form("concept_id").alias("definition_id"), said.alias("d")).groupBy("definition_id").agg(F.max_by("d", F.struct(F.coalesce(F.char_length("d"), F.lit(0)), "d")).alias("definition"))
     total = rows.join(groups, "concept_id").groupBy("group_id").agg(
         F.count(F.lit(1)).alias("n_members"), F.coalesce(F.sum(F.col("frequency").cast("long")), F.lit(0)).alias("frequency"), F.min("extracted_at").alias("first_at"), F.max("extracted_at").alias("last_at")
     )

@@ -1,4 +1,5 @@
 import random
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -53,6 +54,24 @@ def test_reordered_passage_is_covered(spark):
     assert (got.longest_run, got.n_tiles, got.covered_words) == (10, 3, 23)
 
 
+def test_reordered_short_passages_come_out_by_coverage(spark):
+    a = [f"w{i}" for i in range(40)]
+    mixed = a[32:40] + ["x"] + a[0:8] + ["y"] + a[16:22] + ["z"] + a[24:30]
+    few = a[:8] + ["x"] * 20
+    docs = spark.createDataFrame([(2, " ".join(mixed)), (3, " ".join(few)), (4, " ".join(a[5:15]))], "doc_id long, text string")
+    items = spark.createDataFrame([(1, " ".join(a))], "item_id long, text string")
+    got = {r.doc_id: (r.longest_run, r.covered_words) for r in leaks(docs, items, least_coverage=0.5).collect()}
+    assert got == {2: (8, 28), 4: (10, 10)}
+    assert [r.doc_id for r in leaks(docs, items).collect()] == [4]
+
+
+def test_repetition_is_tiled_quickly():
+    began = time.perf_counter()
+    assert tiles(["x"] * 3000, ["x"] * 3000) == [(0, 0, 3000)]
+    assert tiles(["x", "y"] * 800, ["y", "x"] * 900)[0][2] == 1600
+    assert time.perf_counter() - began < 2
+
+
 def test_edges(spark):
     ten = "eins zwei drei vier fünf sechs sieben acht neun zehn"
     docs = [(1, None, "clash"), (2, "", ""), (3, ten, ""), (4, "lang " * 200_000 + ten, ""), (5, ten[:-5], ""), (3, ten, "")]

@@ -58,6 +58,18 @@ def test_hot_entity_and_one_long_span(spark):
     assert {k: v for k, v in run(spark, left, spans).items() if k in {x[0] for x in some}} == brute(some, spans, 2.5)
 
 
+def test_deep_nesting_leaves_few_candidates(spark):
+    from conceptloom.llm.nearest import _distinct_spans, whole_cells
+    from conceptloom.runtime import Scratch
+
+    spans = [("v", float(i), 40_000.0 - i, f"u{i:05}") for i in range(0, 19_000, 10)] + [("v", 40_000.0 - i - 5, float(i), f"r{i:05}") for i in range(0, 19_000, 190)]
+    left = [(f"f{i}", "v", i * 7.3) for i in range(5500)]
+    some = left[::60]
+    assert {k: v for k, v in run(spark, left, spans).items() if k in {x[0] for x in some}} == brute(some, spans, 2.5)
+    cells = whole_cells(_distinct_spans(spark.createDataFrame(spans, SPAN), Scratch(spark, "test")))
+    assert cells.groupBy("entity", "class", "cell").count().agg({"count": "max"}).first()[0] <= 2
+
+
 def test_nothing_to_match(spark):
     assert run(spark, [], [("v", 0.0, 1.0, "a")]) == {}
     assert run(spark, [("x", "v", 1.0)], []) == {}

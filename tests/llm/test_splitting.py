@@ -46,8 +46,23 @@ def test_cuts_at_stops_else_clauses_else_spaces_else_anywhere():
     assert {p[5] for p in checked("word " * 100)[:-1]} == {"space"}
     assert {p[5] for p in checked("x" * 1000)[:-1]} == {"hard"}
     assert {p[5] for p in checked("中文句子。" * 100)[:-1]} == {"stop"}
-    # a pause counts even if it lies far back
-    assert checked("One. " + "word " * 100)[0][3] == 4
+    # hard cuts lie at the limit
+    assert [p[3] for p in checked("x" * 1000)] == [200, 380, 560, 740, 920, 1000]
+    # a stop far back gives way to a later pause, but not to a hard cut
+    assert checked("One. " + "word " * 100)[0][3] == 199 and checked("One. " + "x" * 1000)[0][3] == 4
+
+
+@given(words)
+@settings(max_examples=80, deadline=None)
+def test_pieces_are_half_full_where_a_pause_allows_it(text):
+    from conceptloom.llm.splitting import _CLAUSE, _STOP, _WORD_END, _ends
+
+    pauses = sorted({int(x) for p in (_STOP, _CLAUSE, _WORD_END) for x in _ends(p, text)} - {0})
+    pieces = checked(text)
+    for _, _, a, e, _, kind in pieces[:-1]:
+        full = [x for x in pauses if a + 100 <= x <= a + 200]
+        assert e - a >= 100 or not full
+        assert kind != "hard" or not [x for x in pauses if a + pieces[0][4] < x <= a + 200 and x > a + 20]
 
 
 def test_many_texts_at_once_are_independent():
