@@ -10,8 +10,10 @@ from conceptloom.operators.scans import running_extremes
 from conceptloom.runtime import Scratch
 
 #: Before and after any time, as microseconds.
-BEGINNING, END = -(1 << 62), 1 << 62
+BEGINNING, END = -(1 << 60), 1 << 60
 DAY = 86_400_000_000
+#: Runs of a key up to which its references are compared with all of them.
+FEW_RUNS = 8
 
 
 def existence_runs(parents: DataFrame, keys: list[str], created: str, deleted: str) -> DataFrame:
@@ -49,6 +51,33 @@ def existence_runs(parents: DataFrame, keys: list[str], created: str, deleted: s
     )
 
 
+def run_before(refs: DataFrame, runs: DataFrame, keys: list[str], few: int = FEW_RUNS) -> DataFrame:
+    """References (keys, __at, ...) with the run of their key that holds as of __at: __run_end and __last_created, null without any.
+
+    The runs of a key don't overlap, so one with at most ``few`` of them is met in an equi-join that compares each reference
+    with all, and that adaptive execution splits at a hot key. References of keys with more runs are laid among the run starts
+    and take the last one before them, carried along in chunks of a day: no comparison of all with all.
+    """
+    scratch = Scratch(refs.sparkSession, "runs-before")
+    runs = scratch.save(runs, "runs")
+    many = scratch.save(runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > few).select(*keys), "many")
+    crowded = bool(many.head(1))
+    plain = refs.join(many, keys, "left_anti") if crowded else refs
+    some = runs.join(many, keys, "left_anti") if crowded else runs
+    some = some.select(*[F.col(k).alias(f"__p_{k}") for k in keys], *[F.col(c).alias(f"__{c}") for c in ("run_start", "run_end", "run_next", "last_created")])
+    on = (F.col("__at") >= F.col("__run_start")) & (F.col("__at") < F.col("__run_next"))
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"__p_{k}"))
+    met = plain.join(some, on, "left").select(*refs.columns, "__run_end", "__last_created")
+    if not crowded:
+        return met
+    # Twice the time, and one more for references: a run that starts at that very time lies before them.
+    starts = runs.join(many, keys, "left_semi").select(*keys, (2 * F.col("run_start")).alias("__order"), F.struct("run_start", "run_end", "last_created").alias("__run"), F.lit(None).cast(refs.select(F.struct(*refs.columns)).schema[0].dataType).alias("__ref"))
+    laid = refs.join(many, keys, "left_semi").select(*keys, (2 * F.col("__at") + 1).alias("__order"), F.lit(None).cast(starts.schema["__run"].dataType).alias("__run"), F.struct(*refs.columns).alias("__ref"))
+    carried = running_extremes(starts.unionByName(laid), keys, "__order", F.floor(F.col("__order") / F.lit(2 * DAY)), max_before={"__last": "__run"}).filter(F.col("__ref").isNotNull())
+    return met.unionByName(carried.select("__ref.*", F.col("__last.run_end").alias("__run_end"), F.col("__last.last_created").alias("__last_created")))
+
+
 def orphan_references(references: DataFrame, parents: DataFrame, keys: list[str], at: str, created: str, deleted: str) -> DataFrame:
     """The references whose key had no living record at their time, with kind 'missing', 'late' or 'deleted'.
 
@@ -58,12 +87,7 @@ def orphan_references(references: DataFrame, parents: DataFrame, keys: list[str]
     later than it begins neither. Null keys are no references. Columns of ``references`` stay as they are, but for one that is itself named kind.
     """
     runs = existence_runs(parents.dropna(subset=keys), keys, created, deleted)
-    runs = runs.select(*[F.col(k).alias(f"__p_{k}") for k in keys], *[F.col(c).alias(f"__{c}") for c in ("run_start", "run_end", "run_next", "last_created")])
-    refs = references.dropna(subset=keys).withColumn("__at", F.coalesce(F.col(at), F.lit(BEGINNING)))
-    on = (F.col("__at") >= F.col("__run_start")) & (F.col("__at") < F.col("__run_next"))
-    for k in keys:
-        on = on & (F.col(k) == F.col(f"__p_{k}"))
-    met = refs.join(runs, on, "left")
+    met = run_before(references.dropna(subset=keys).withColumn("__at", F.coalesce(F.col(at), F.lit(BEGINNING))), runs, keys)
     kind = (
         F.when(F.col("__run_end").isNull(), "missing")
         .when(F.col("__at") < F.col("__run_end"), None)

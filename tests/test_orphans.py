@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -82,3 +83,19 @@ def test_hot_key_is_spread_over_chunks(spark):
     refs = [(i, "hot", i * day_) for i in range(0, 2100, 3)]
     got = {x.id for x in orphan_references(spark.createDataFrame(refs, "id long, key string, at long"), spark.createDataFrame(lives, "key string, created long, deleted long"), ["key"], "at", "created", "deleted").collect()}
     assert got == {i for i, _, t in refs if not any(c <= t < d for _, c, d in lives)}
+
+
+def test_a_name_with_many_lives_and_references(spark):
+    """Both ways to the run before a reference give the same."""
+    import random
+
+    from conceptloom.operators.orphans import DAY, existence_runs, run_before
+
+    r = random.Random(5)
+    lives = [("hot", i * DAY, i * DAY + r.randrange(1, DAY)) for i in range(0, 300, 2)] + [("cold", 5, 9)]
+    parents = spark.createDataFrame(lives, "key string, created long, deleted long")
+    rows = [(i, r.choice(["hot", "hot", "hot", "cold", "none"]), r.randrange(-DAY, 310 * DAY)) for i in range(500)] + [(900, "hot", 0), (901, "hot", 2 * DAY), (902, "cold", 5)]
+    refs = spark.createDataFrame(rows, "id int, key string, at long").withColumn("__at", F.col("at"))
+    runs = existence_runs(parents, ["key"], "created", "deleted")
+    seen = lambda few: sorted((x.id, str(x["__run_end"]), str(x["__last_created"])) for x in run_before(refs, runs, ["key"], few).collect())
+    assert seen(8) == seen(10**6) and len(seen(8)) == len(rows)
