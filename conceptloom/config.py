@@ -21,7 +21,7 @@ class EngineConfig:
     base_weight: float = 0.7
     frequency_weight: float = 0.3
     temporal_similarity: float = 0.75
-    temporal_cap: int = 200
+    temporal_cap: int = 201  # the cap is tested after an edge is added
     min_cluster: int = 2
     min_topic_cluster: int = 3
     min_concepts: int = 10

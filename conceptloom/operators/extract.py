@@ -82,7 +82,20 @@ def question_relations(questions: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _named(c: Column, most: int | None = None) -> Column:
+    """The parts of a comma-separated text that aren't blank."""
+    parts = F.filter(F.transform(F.split(c, ","), strip_white), lambda x: x != "")
+    return parts if most is None else F.slice(parts, 1, most)
+
+
 def topic_lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """TITLE | SUMMARY | DIFFICULTY, the first line that isn't blank: (key, title, summary, difficulty)."""
+    """TITLE | SUMMARY | CONCEPTS | DIFFICULTY, the first line that isn't blank: (key, title, summary, top_concepts, difficulty), the
+    title cut to 80 characters, at most three concepts, the difficulty's digits between 1 and 5, 2 without any."""
+    rows = _first(_lines(df, key, text), key, 1)
+    return rows.select(key, F.substring(_part(0), 1, 80).alias("title"), F.coalesce(_part(1), F.lit("")).alias("summary"), _named(F.coalesce(_part(2), F.lit("")), 3).alias("top_concepts"), digits_clamped(F.coalesce(_part(3), F.lit(""))).alias("difficulty"))
+
+
+def chapter_lines(df: DataFrame, key: str, text: str) -> DataFrame:
+    """TITLE | SUMMARY | DOMAINS, the first line that isn't blank: (key, title, summary, domains), the title cut to 100 characters."""
     rows = _first(_lines(df, key, text), key, 1)
-    return rows.select(key, F.substring(_part(0), 1, 80).alias("title"), F.coalesce(_part(1), F.lit("")).alias("summary"), digits_clamped(F.coalesce(_part(2), F.lit(""))).alias("difficulty"))
+    return rows.select(key, F.substring(_part(0), 1, 100).alias("title"), F.coalesce(_part(1), F.lit("")).alias("summary"), _named(F.coalesce(_part(2), F.lit(""))).alias("domains"))

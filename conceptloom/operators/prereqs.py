@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from conceptloom.adapters import hashed_embedding
+from conceptloom.config import DEFAULTS, EngineConfig
 from conceptloom.functions.text import relation_form
 from conceptloom.operators.pairs import similar_pairs
 from conceptloom.operators.resolve import resolved_relations
@@ -166,20 +168,43 @@ def depths(edges: DataFrame, scope: str = "chapter_id", source: str = "source",
     return out.unionByName(state.select(scope, "node", F.col("depth").cast("int").alias("depth")))
 
 
-def temporal_edges(vectors: DataFrame, scope: str, seq: str, item: str, vector: str, threshold: float, most: int, existing: DataFrame | None = None) -> DataFrame:
-    """(scope, source, target, confidence): items of a later segment (seq) depend on similar ones of an earlier segment of the
-    scope, confidence 0.7 * similarity, the best ``most`` of each scope; existing edges are left out."""
+def temporal_edges(vectors: DataFrame, scope: str, seq: str, item: str, vector: str, threshold: float, most: int, existing: DataFrame | None = None, last: str | None = None) -> DataFrame:
+    """(scope, source, target, confidence): an item that is in a later segment depends on similar ones of an earlier segment of the
+    scope, confidence 0.7 * similarity, the best ``most`` of each scope; existing edges are left out.
+
+    seq is an item's first segment and ``last`` its last one, by default the same; items seen in several segments can depend
+    on each other both ways.
+    """
     pairs = similar_pairs(vectors, scope, item, vector, threshold)
-    of = lambda x: vectors.select(F.col(scope), F.col(item).alias(f"seq_{x}"), F.col(seq).alias(f"q_{x}"))
-    met = pairs.join(of("a"), [scope, "seq_a"]).join(of("b"), [scope, "seq_b"]).filter(F.col("q_a") != F.col("q_b"))
-    later = F.col("q_a") > F.col("q_b")
-    met = met.select(scope, F.when(later, F.col("seq_a")).otherwise(F.col("seq_b")).alias("source"), F.when(later, F.col("seq_b")).otherwise(F.col("seq_a")).alias("target"), "similarity")
+    of = lambda x: vectors.select(F.col(scope), F.col(item).alias(f"seq_{x}"), F.col(seq).alias(f"q_{x}"), F.col(last or seq).alias(f"l_{x}"))
+    met = pairs.join(of("a"), [scope, "seq_a"]).join(of("b"), [scope, "seq_b"])
+    edge = lambda x, y: F.when(F.col(f"q_{y}") < F.col(f"l_{x}"), F.struct(F.col(f"seq_{x}").alias("source"), F.col(f"seq_{y}").alias("target")))
+    met = met.select(scope, "similarity", F.explode(F.array(edge("a", "b"), edge("b", "a"))).alias("e")).filter(F.col("e").isNotNull()).select(scope, "e.source", "e.target", "similarity")
     if existing is not None:
         met = met.join(existing.select(scope, "source", "target"), [scope, "source", "target"], "left_anti")
     rank = F.row_number().over(Window.partitionBy(scope).orderBy(F.desc(F.round("similarity", 9)), "source", "target"))
     return met.withColumn("r", rank).filter(F.col("r") <= most).select(scope, "source", "target", (F.lit(0.7) * F.col("similarity")).alias("confidence"))
 
 
+def concept_vectors(canonical: DataFrame, segments: DataFrame) -> DataFrame:
+    """(chapter_id, concept_id, first, last, embedding): the default embedder's vectors of the names, with the first and last index
+    of the segments that a concept was seen in; concepts without any are left out."""
+    index = segments.groupBy("segment_id").agg(F.min("segment_index").alias("i"))
+    one = canonical.dropDuplicates(["concept_id"])
+    seen = one.select("concept_id", F.explode(F.array_distinct("source_segments")).alias("segment_id")).join(index, "segment_id").groupBy("concept_id").agg(F.min("i").alias("first"), F.max("i").alias("last"))
+    return one.join(seen, "concept_id").select("chapter_id", "concept_id", "first", "last", hashed_embedding(F.coalesce("name", F.lit(""))).alias("embedding"))
+
+
+def whole_dag(relations: DataFrame, canonical: DataFrame, segments: DataFrame, config: EngineConfig = DEFAULTS) -> DataFrame:
+    """(chapter_id, source, target, confidence): prerequisites without cycles, with the temporal edges of each chapter that they
+    don't have yet, and again without cycles."""
+    scratch = Scratch(relations.sparkSession, "dag")
+    dag = scratch.save(break_cycles(prerequisite_edges(plain_relations(relations), canonical)), "dag")
+    vectors = scratch.save(concept_vectors(canonical, segments), "vectors")
+    later = temporal_edges(vectors, "chapter_id", "first", "concept_id", "embedding", config.temporal_similarity, config.temporal_cap, dag, "last")
+    return break_cycles(dag.unionByName(later.select(dag.columns)))
+
+
 def acyclic(edges: DataFrame, scope: str = "chapter_id") -> DataFrame:
     """(scope, acyclic) of every scope that has edges."""
     return depths(edges, scope).groupBy(scope).agg(F.bool_and(F.col("depth") >= 0).alias("acyclic"))

@@ -270,7 +270,13 @@ def digits_clamp(s: SparkSession, d: str) -> DataFrame:
 @query
 def topic_lines(s: SparkSession, d: str) -> DataFrame:
     got = extract.topic_lines(_raw(s, d).dropDuplicates(["concept_id"]), "concept_id", "raw_line")
-    return got.withColumn("difficulty", F.col("difficulty").cast("long"))
+    return got.withColumns({"difficulty": F.col("difficulty").cast("long"), "top_concepts": F.array_join("top_concepts", "|")})
+
+
+@query
+def chapter_lines(s: SparkSession, d: str) -> DataFrame:
+    got = extract.chapter_lines(_raw(s, d).dropDuplicates(["concept_id"]), "concept_id", "raw_line")
+    return got.withColumns({"summary": F.md5("summary"), "domains": F.array_join("domains", "|")})
 
 
 # Names and concepts
@@ -405,13 +411,24 @@ def learning_order(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def acyclic_chapters(s: SparkSession, d: str) -> DataFrame:
-    return prereqs.acyclic(_dag(s, d))
+    """Whether each chapter's prerequisites are free of cycles, as stated and after the weakest edges were taken away."""
+    edges = Scratch(s, "acyclic").save(prereqs.prerequisite_edges(_rels(s, d), _canon(s, d)), "edges")
+    after = prereqs.acyclic(prereqs.break_cycles(edges)).withColumnRenamed("acyclic", "after")
+    return prereqs.acyclic(edges).withColumnRenamed("acyclic", "before").join(after, "chapter_id", "left")
 
 
 @query
 def temporal_prereqs(s: SparkSession, d: str) -> DataFrame:
     v = _vectors(s, d).withColumn("scope", F.lit(0))
-    return prereqs.temporal_edges(v, "scope", "label", "vec_id", "embedding", 0.3, 200).select("source", "target", F.round("confidence", 6).alias("confidence"))
+    return prereqs.temporal_edges(v, "scope", "label", "vec_id", "embedding", 0.3, 201).select("source", "target", F.round("confidence", 6).alias("confidence"))
+
+
+@query
+def temporal_concepts(s: SparkSession, d: str) -> DataFrame:
+    """Later concepts of a chapter that resemble earlier ones, without the prerequisites that are there."""
+    v = Scratch(s, "temporal").save(prereqs.concept_vectors(_canon(s, d), _segs(s, d)), "vectors")
+    got = prereqs.temporal_edges(v, "chapter_id", "first", "concept_id", "embedding", DEFAULTS.temporal_similarity, DEFAULTS.temporal_cap, prereqs.prerequisite_edges(_rels(s, d), _canon(s, d)), "last")
+    return got.withColumn("confidence", F.round("confidence", 6))
 
 
 # Vectors and clusters
@@ -464,32 +481,49 @@ def topic_clusters(s: SparkSession, d: str) -> DataFrame:
     return topics.topic_clusters(_vectors(s, d), "label", "vec_id", "embedding", 3)
 
 
+def _live_depths(s, d):
+    edges = prereqs.prerequisite_edges(_rels(s, d), _canon(s, d).filter("deleted_at IS NULL"))
+    return prereqs.depths(edges)
+
+
+def _edges(s, d, nodes):
+    return graph.graph_edges(nodes, _rels(s, d), _canon(s, d), segments=_segs(s, d).dropDuplicates(["segment_id"]))
+
+
+_NARROW = ("id", "type", "label", "domain", "chapter_id", "n_evidence")
+
+
 def _graph(s, d):
-    """Nodes and edges, written once: the views read them several times."""
+    """Nodes and edges, written once with the columns that the views read: they read them several times."""
     scratch = Scratch(s, "graph")
-    nodes = scratch.save(graph.graph_nodes(_canon(s, d), _units(s, d)), "nodes")
-    return nodes, scratch.save(graph.graph_edges(nodes, _rels(s, d), _canon(s, d)), "edges")
+    nodes = scratch.save(graph.graph_nodes(_canon(s, d), _units(s, d)).select(*_NARROW), "nodes")
+    return nodes, scratch.save(_edges(s, d, nodes), "edges")
 
 
 @query
 def graph_nodes(s: SparkSession, d: str) -> DataFrame:
-    return graph.graph_nodes(_canon(s, d), _units(s, d))
+    got = graph.graph_nodes(_canon(s, d), _units(s, d), _live_depths(s, d))
+    joined = lambda c: F.md5(F.array_join(c, "|"))
+    return got.withColumns({"definition": F.md5("definition"), "aliases": joined("aliases"), "evidence": joined("evidence"), "confidence": F.round("confidence", 6)})
 
 
 @query
 def graph_edges(s: SparkSession, d: str) -> DataFrame:
-    return _graph(s, d)[1].select("source", "target", "type", F.round("confidence", 6).alias("confidence"), "cross_domain", "chapter_id")
+    nodes = graph.graph_nodes(_canon(s, d), _units(s, d)).select("id", "type", "domain", "chapter_id")
+    return _edges(s, d, nodes).select("source", "target", "type", F.round("confidence", 6).alias("confidence"), "cross_domain", "chapter_id")
 
 
 @query
 def cross_domain_edges(s: SparkSession, d: str) -> DataFrame:
-    return _graph(s, d)[1].filter("cross_domain").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+    """Over raw concepts, whose domains differ within a chapter."""
+    raw = _raw(s, d).withColumns({"aliases": F.array().cast("array<string>"), "source_segments": F.array("segment_id"), "deleted_at": F.lit(None).cast("timestamp")})
+    nodes = graph.graph_nodes(raw, _units(s, d)).select("id", "type", "domain", "chapter_id")
+    return graph.graph_edges(nodes, _rels(s, d), raw).filter("cross_domain").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def quality_gates(s: SparkSession, d: str) -> DataFrame:
-    nodes, edges = _graph(s, d)
-    return graph.quality_gates(nodes, edges).withColumn("value", F.round("value", 6))
+    return graph.quality_gates(*_graph(s, d)).withColumn("value", F.round("value", 6))
 
 
 @query
@@ -504,12 +538,33 @@ def induced_domain(s: SparkSession, d: str) -> DataFrame:
     return graph.induced(nodes.filter("domain = 'mechanics'"), edges).select("source", "target", "type")
 
 
+@query
+def induced_concepts(s: SparkSession, d: str) -> DataFrame:
+    nodes, edges = _graph(s, d)
+    return graph.induced(nodes.filter("type = 'AtomicConcept'"), edges).select("source", "target", "type")
+
+
 @query
 def requires_view(s: SparkSession, d: str) -> DataFrame:
     nodes, edges = _graph(s, d)
     return graph.induced(nodes.filter("type = 'AtomicConcept'"), edges.filter("type = 'requires'")).select("source", "target")
 
 
+@query
+def export_views(s: SparkSession, d: str) -> DataFrame:
+    return graph.export_views(*_graph(s, d))
+
+
+@query
+def domains_present(s: SparkSession, d: str) -> DataFrame:
+    return graph.domains_present(graph.graph_nodes(_raw(s, d).withColumns({"aliases": F.array().cast("array<string>"), "source_segments": F.array("segment_id"), "deleted_at": F.lit(None).cast("timestamp")}), _units(s, d)))
+
+
+@query
+def concept_texts(s: SparkSession, d: str) -> DataFrame:
+    return graph.concept_texts(graph.graph_nodes(_canon(s, d), _units(s, d))).select("id", F.md5("text").alias("text_md5"))
+
+
 @query
 def graph_summary(s: SparkSession, d: str) -> DataFrame:
     return graph.graph_summary(*_graph(s, d))
@@ -522,7 +577,7 @@ def triples(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def node_style(s: SparkSession, d: str) -> DataFrame:
-    return graph.node_style(graph.graph_nodes(_canon(s, d), _units(s, d)))
+    return graph.node_style(graph.graph_nodes(_canon(s, d), _units(s, d), _live_depths(s, d))).withColumn("tooltip", F.md5("tooltip"))
 
 
 @query
@@ -530,18 +585,27 @@ def edge_style(s: SparkSession, d: str) -> DataFrame:
     return graph.edge_style(_graph(s, d)[1]).withColumn("width", F.round("width", 6))
 
 
-# The whole graph: every spelling of a relation counts and requires edges have no cycles. The queries above keep to their SQL.
+# The whole graph: every spelling of a relation counts, requires edges have no cycles and the temporal ones among them, topics
+# are clusters of names. SQL can't break cycles or cluster, so the queries above keep to what it can say.
 
 
 @query
 def dag_edges(s: SparkSession, d: str) -> DataFrame:
-    return prereqs.break_cycles(prereqs.prerequisite_edges(prereqs.plain_relations(_rels(s, d)), _canon(s, d).filter("deleted_at IS NULL")))
+    return prereqs.whole_dag(_rels(s, d), _canon(s, d).filter("deleted_at IS NULL"), _segs(s, d))
 
 
 def _dag_graph(s, d):
     scratch = Scratch(s, "dag-graph")
-    nodes = scratch.save(graph.graph_nodes(_canon(s, d), _units(s, d)), "nodes")
-    return nodes, scratch.save(graph.graph_edges(nodes, prereqs.plain_relations(_rels(s, d)), _canon(s, d), dag_edges(s, d)), "edges")
+    members = topics.topic_members(graph.live_concepts(_canon(s, d)), DEFAULTS.min_topic_cluster)
+    dag = scratch.save(dag_edges(s, d), "dag")
+    nodes = scratch.save(graph.graph_nodes(_canon(s, d), _units(s, d), prereqs.depths(dag), members), "nodes")
+    edges = graph.graph_edges(nodes, prereqs.plain_relations(_rels(s, d)), _canon(s, d), dag, members, _segs(s, d).dropDuplicates(["segment_id"]))
+    return nodes, scratch.save(edges, "edges")
+
+
+@query
+def dag_graph_nodes(s: SparkSession, d: str) -> DataFrame:
+    return _dag_graph(s, d)[0].select("id", "type", "label", "domain", "chapter_id", "frequency", "n_evidence", "concept_type", "difficulty", "depth_level")
 
 
 @query
@@ -562,4 +626,4 @@ def dag_triples(s: SparkSession, d: str) -> DataFrame:
 
 @query
 def dag_quality_gates(s: SparkSession, d: str) -> DataFrame:
-    return graph.quality_report(*_dag_graph(s, d)).withColumn("value", F.round("value", 6))
+    return graph.quality_gates(*_dag_graph(s, d)).withColumn("value", F.round("value", 6))

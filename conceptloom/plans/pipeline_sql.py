@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from conceptloom.config import CONCEPT_TYPES, DOMAINS, EXTENSIONS, NODE_TYPES, RELATIONS
+from conceptloom.operators.graph import BORDERS, CUTS, DOMAIN_COLORS, EDGE_COLORS, NO_DOMAIN, NO_EDGE, SIZES, SUMMARY_EDGES
 
 WHITE = r"[\s\x0B\x{0085}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 LINE_END = r"\r\n|[\n\r\x0B\f\x1c-\x1e\x{0085}\x{2028}\x{2029}]"
@@ -166,29 +167,53 @@ items AS (SELECT chapter_id AS scope, seq FROM named), pairs AS (SELECT chapter_
 lexical AS (SELECT r.concept_id, w.leader FROM raw r JOIN named n ON n.chapter_id = r.chapter_id AND n.norm = r.norm JOIN walk w ON w.scope = n.chapter_id AND w.seq = n.seq)
 """
 _FUZZY = _LEXICAL.replace("WITH RECURSIVE raw AS", "WITH RECURSIVE raw0 AS").replace("FROM raw GROUP", "FROM raw0 GROUP").replace("FROM raw r", "FROM raw0 r") + f", raw AS (SELECT raw0.*, leader FROM raw0 JOIN lexical USING (concept_id)), {_canonical('leader')}"
-_GRAPH = f"""
-WITH {RELS}, canon AS (SELECT DISTINCT ON (concept_id) * FROM stage7_canonical_concepts WHERE deleted_at IS NULL), {_INDEX}, {_RESOLVED}, {_EDGES},
+
+
+def _graph_of(canon: str) -> str:
+    """Nodes and links of a table of canonical concepts."""
+    return f"""
+WITH RECURSIVE {RELS}, canon AS ({canon}), {_INDEX}, {_RESOLVED}, {_EDGES},
+reach AS (SELECT chapter_id, source AS a, target AS b FROM edges UNION SELECT r.chapter_id, r.a, e.target FROM reach r JOIN edges e ON e.chapter_id = r.chapter_id AND e.source = r.b),
 atomic AS (
   SELECT concept_id AS id, 'AtomicConcept' AS type, name AS label, coalesce(nullif(domain, ''), 'general') AS domain, chapter_id,
-    CAST(coalesce(frequency, 1) AS BIGINT) AS frequency, CAST(coalesce(len(source_segments), 0) AS BIGINT) AS n_evidence FROM canon
+    CAST(coalesce(frequency, 1) AS BIGINT) AS frequency, CAST(coalesce(len(source_segments), 0) AS BIGINT) AS n_evidence, type AS concept_type, definition, confidence, aliases, source_segments AS evidence FROM canon
 ), topics AS (
   SELECT concat_ws('/', chapter_id, domain) AS id, 'TopicGodNode' AS type, domain AS label, domain, chapter_id, count(*) AS frequency, CAST(0 AS BIGINT) AS n_evidence FROM atomic GROUP BY chapter_id, domain
 ), nodes AS (
-  SELECT * FROM atomic UNION ALL SELECT * FROM topics
-  UNION ALL SELECT 'chapter:' || chapter_id, 'Chapter', chapter_id, NULL, chapter_id, count(*), 0 FROM atomic GROUP BY chapter_id
-  UNION ALL SELECT sha256('source:' || source_path), 'Source', regexp_extract(source_path, '([^/]*)$', 1), NULL, min(chapter_id), count(DISTINCT unit_id), 0 FROM stage3_transcripts WHERE source_path <> '' GROUP BY source_path
+  SELECT * FROM atomic UNION ALL SELECT *, NULL, NULL, NULL, NULL, NULL FROM topics
+  UNION ALL SELECT 'chapter:' || chapter_id, 'Chapter', chapter_id, NULL, chapter_id, count(*), 0, NULL, NULL, NULL, NULL, NULL FROM atomic GROUP BY chapter_id
+  UNION ALL SELECT sha256('source:' || source_path), 'Source', regexp_extract(source_path, '([^/]*)$', 1), NULL, min(chapter_id), count(DISTINCT unit_id), 0, NULL, NULL, NULL, NULL, NULL FROM stage3_transcripts WHERE source_path <> '' GROUP BY source_path
 ), bare AS (
   SELECT 'chapter:' || chapter_id AS source, id AS target, 'has_topic' AS type, 1.0 AS confidence, chapter_id FROM topics
   UNION ALL SELECT concat_ws('/', chapter_id, domain), id, 'contains', 1.0, chapter_id FROM atomic
   UNION ALL SELECT source, target, 'requires', confidence, chapter_id FROM edges
   UNION ALL SELECT s2, t2, relation, max({_SURE}), chapter_id FROM resolved WHERE NOT {_PREREQ} AND s2 <> t2 AND relation IN ({quoted(RELATIONS)}) GROUP BY s2, t2, relation, chapter_id
-), links AS (
+), paths AS (SELECT DISTINCT segment_id, unnest(source_paths) AS path FROM stage5_segments), links AS (
   SELECT b.source, b.target, b.type, b.confidence, coalesce(s.domain <> '' AND t.domain <> '' AND s.domain <> t.domain, false) AS cross_domain, b.chapter_id
   FROM bare b LEFT JOIN atomic s ON s.id = b.source LEFT JOIN atomic t ON t.id = b.target
+  UNION ALL SELECT DISTINCT c.id, sha256('source:' || path), 'appears_in', 1.0, false, c.chapter_id FROM (SELECT id, chapter_id, unnest(evidence) AS segment_id FROM atomic) c JOIN paths USING (segment_id)
+  WHERE path IN (SELECT source_path FROM stage3_transcripts WHERE source_path <> '')
 )
 """
 
 
+_GRAPH = _graph_of("SELECT DISTINCT ON (concept_id) * FROM stage7_canonical_concepts WHERE deleted_at IS NULL")
+_RAW_GRAPH = _graph_of("SELECT DISTINCT ON (concept_id) *, CAST([] AS VARCHAR[]) AS aliases, [segment_id] AS source_segments FROM stage6_raw_concepts")
+# Depths of live concepts: longest paths to the nodes that no cycle reaches, 0 for the rest.
+_LEVELS = """, walked AS (
+  SELECT chapter_id, node, max(depth) AS depth FROM (
+    WITH RECURSIVE bad AS (SELECT chapter_id, a AS node FROM reach WHERE a = b UNION SELECT r.chapter_id, r.b FROM reach r JOIN reach c ON c.chapter_id = r.chapter_id AND c.a = c.b AND c.a = r.a),
+    good AS (SELECT * FROM edges e WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.chapter_id = e.chapter_id AND b.node = e.target)),
+    walk AS (
+      SELECT chapter_id, node, CAST(0 AS BIGINT) AS depth FROM (SELECT chapter_id, source AS node FROM edges UNION SELECT chapter_id, target FROM edges) n WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.chapter_id = n.chapter_id AND b.node = n.node)
+      UNION SELECT w.chapter_id, g.target, w.depth + 1 FROM walk w JOIN good g ON g.chapter_id = w.chapter_id AND g.source = w.node
+    ) SELECT * FROM walk) GROUP BY 1, 2
+), levels AS (SELECT id, coalesce(depth, 0) AS level FROM atomic LEFT JOIN walked ON node = id),
+topic_levels AS (SELECT concat_ws('/', chapter_id, domain) AS id, CAST(greatest(1, least(5, CAST(trunc(avg(level)) AS BIGINT) + 1)) AS BIGINT) AS level FROM atomic JOIN levels USING (id) GROUP BY chapter_id, domain)
+"""
+_BY = lambda column, table, other: f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v!r}" for k, v in table.items()) + f" ELSE {other!r} END"
+
+
 def _induced(nodes: str, edges: str = "true", columns: str = "source, target, type") -> str:
     return _GRAPH + f"SELECT {columns} FROM links WHERE {edges} AND source IN (SELECT id FROM nodes WHERE {nodes}) AND target IN (SELECT id FROM nodes WHERE {nodes})"
 
@@ -209,6 +234,7 @@ _SUFFIX = "lower(regexp_extract(regexp_extract(source_path, '([^/]*)$', 1), '.(\
 _KIND = "CASE " + " ".join(f"WHEN {_SUFFIX} IN ({quoted(v)}) THEN '{k}'" for k, v in EXTENSIONS.items()) + " ELSE 'skip' END"
 _DENSITY = "coalesce(CASE WHEN isnan(text_density) THEN NULL ELSE text_density END, -1.0)"
 _Q = lambda mark: strip(f"substr(max_by(line, line_no) FILTER (line LIKE '{mark}%'), {len(mark) + 1})")
+_NAMED = f"list_filter(list_transform(string_split(coalesce(p[3], ''), ','), lambda x: {strip('x')}), lambda x: x <> '')"
 _DOT = "list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
 
 SQL = {
@@ -303,8 +329,10 @@ SELECT doc_id, md5(q) AS question_md5, md5(a) AS answer_md5, CAST(coalesce(len(l
     "think_strip": f"SELECT DISTINCT concept_id, md5({strip('raw_line')}) AS reply_md5 FROM stage6_raw_concepts",
     "digits_clamp": "SELECT p_partkey, greatest(1, least(5, coalesce(try_cast(regexp_replace(p_brand, '[^0-9]', '', 'g') AS BIGINT), 2))) AS level FROM part",
     "topic_lines": f"""WITH {_lines("stage6_raw_concepts", "concept_id")}
-SELECT concept_id, substr(p[1], 1, 80) AS title, coalesce(p[2], '') AS summary, greatest(1, least(5, coalesce(try_cast(regexp_replace(coalesce(p[3], ''), '[^0-9]', '', 'g') AS INT), 2)))::BIGINT AS difficulty
+SELECT concept_id, substr(p[1], 1, 80) AS title, coalesce(p[2], '') AS summary, array_to_string({_NAMED}[1:3], '|') AS top_concepts, greatest(1, least(5, coalesce(try_cast(regexp_replace(coalesce(p[4], ''), '[^0-9]', '', 'g') AS INT), 2)))::BIGINT AS difficulty
 FROM cut QUALIFY row_number() OVER (PARTITION BY concept_id ORDER BY line_no) = 1""",
+    "chapter_lines": f"""WITH {_lines("stage6_raw_concepts", "concept_id")}
+SELECT concept_id, substr(p[1], 1, 100) AS title, md5(coalesce(p[2], '')) AS summary, array_to_string({_NAMED}, '|') AS domains FROM cut QUALIFY row_number() OVER (PARTITION BY concept_id ORDER BY line_no) = 1""",
     "normalize_names": f"SELECT DISTINCT concept_id, regexp_replace(lower({strip('name')}), '[^a-z0-9 ]', '', 'g') AS norm, {name('name')} AS form FROM stage6_raw_concepts",
     "exact_name_groups": f"WITH {RAW} SELECT chapter_id, form, min(concept_seq) AS first_seq, count(*) AS n FROM raw GROUP BY 1, 2",
     "canonical_concepts": _CANONICAL + _shown("form"),
@@ -325,39 +353,77 @@ SELECT coalesce(new, concept_id) AS concept_id, concept_seq FROM (SELECT DISTINC
     "depth_histogram": _DEPTHS + "SELECT depth, count(*) AS n FROM depths GROUP BY 1",
     "learning_order": _DEPTHS + "SELECT chapter_id, node, row_number() OVER (PARTITION BY chapter_id ORDER BY depth, node) - 1 AS place FROM depths",
     "temporal_prereqs": f"""SELECT b.vec_id AS source, a.vec_id AS target, round(0.7 * {_DOT}, 6) AS confidence FROM embeddings a JOIN embeddings b ON a.label < b.label WHERE {_DOT} >= 0.3
-ORDER BY round({_DOT}, 9) DESC, source, target LIMIT 200""",
+ORDER BY round({_DOT}, 9) DESC, source, target LIMIT 201""",
     "domain_argmax": f"""WITH seeds AS (SELECT label % 10 AS place, ([{quoted(DOMAINS)}])[label % 10 + 1] AS seed, min_by(embedding, vec_id) AS embedding FROM embeddings GROUP BY 1, 2),
 s AS (SELECT a.vec_id, b.seed, b.place, {_DOT} AS s FROM embeddings a, seeds b)
 SELECT vec_id, coalesce(first(seed ORDER BY s DESC, place) FILTER (s > 0), 'general') AS seed, round(coalesce(max(s) FILTER (s > 0), 0.0), 6) AS similarity FROM s GROUP BY 1""",
     "cluster_min_sim": f"""WITH m AS (SELECT a.label, min({_DOT}) AS m FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id GROUP BY 1), n AS (SELECT label, count(*) AS n FROM embeddings GROUP BY 1)
 SELECT label, n, round(coalesce(m, 1.0), 6) AS least, CASE WHEN coalesce(m, 1.0) >= 0.9 THEN 'merge' WHEN coalesce(m, 1.0) >= -0.45 THEN 'check' ELSE 'split' END AS fate FROM n LEFT JOIN m USING (label)""",
     "topic_difficulty": f"WITH {CANON} SELECT chapter_id, domain, CAST(greatest(1, least(5, CAST(trunc(avg(difficulty)) AS BIGINT) + 1)) AS BIGINT) AS difficulty, count(*) AS n FROM canon GROUP BY 1, 2",
-    "graph_nodes": _GRAPH + "SELECT * FROM nodes",
+    "graph_nodes": _GRAPH
+    + _LEVELS
+    + """SELECT n.id, n.type, label, domain, chapter_id, frequency, n_evidence, concept_type, md5(definition) AS definition, round(confidence, 6) AS confidence,
+  CASE n.type WHEN 'AtomicConcept' THEN l.level + 1 WHEN 'TopicGodNode' THEN t.level END AS difficulty, l.level AS depth_level, md5(array_to_string(aliases, '|')) AS aliases, md5(array_to_string(evidence, '|')) AS evidence
+FROM nodes n LEFT JOIN levels l ON l.id = n.id LEFT JOIN topic_levels t ON t.id = n.id""",
     "graph_edges": _GRAPH + "SELECT source, target, type, round(confidence, 6) AS confidence, cross_domain, chapter_id FROM links",
-    "cross_domain_edges": _GRAPH + "SELECT type, count(*) AS n FROM links WHERE cross_domain GROUP BY 1",
+    "cross_domain_edges": _RAW_GRAPH + "SELECT type, count(*) AS n FROM links WHERE cross_domain GROUP BY 1",
+    "domains_present": _RAW_GRAPH + "SELECT DISTINCT chapter_id, domain FROM atomic WHERE domain <> ''",
+    "concept_texts": _GRAPH + "SELECT id, md5(coalesce(label, '') || ': ' || coalesce(definition, '')) AS text_md5 FROM atomic",
     "quality_gates": _GRAPH
-    + """, ends AS (SELECT source AS id FROM links UNION SELECT target FROM links), n AS (
-  SELECT chapter_id, count_if(type = 'AtomicConcept') AS concepts, count(*) AS n, count_if(ends.id IS NULL) AS orphans, count_if(type = 'AtomicConcept' AND n_evidence = 0) AS bare, count_if(type = 'TopicGodNode') AS topics
-  FROM nodes LEFT JOIN ends USING (id) WHERE type <> 'Source' GROUP BY 1
+    + """, ends AS (SELECT source AS id FROM links UNION SELECT target FROM links), seen AS (SELECT nodes.id, type, chapter_id, n_evidence, ends.id IS NULL AS alone FROM nodes LEFT JOIN ends USING (id)), n AS (
+  SELECT chapter_id, count_if(type = 'AtomicConcept') AS concepts, count(*) AS n, count_if(alone) AS orphans, count_if(type = 'AtomicConcept' AND n_evidence = 0) AS bare, count_if(type = 'TopicGodNode') AS topics,
+    coalesce(array_to_string((list(id ORDER BY id) FILTER (alone))[1:10], ','), '') AS lonely, coalesce(array_to_string((list(id ORDER BY id) FILTER (type = 'AtomicConcept' AND n_evidence = 0))[1:10], ','), '') AS unseen
+  FROM seen GROUP BY 1
 ), m AS (SELECT chapter_id, count(*) AS edges FROM links GROUP BY 1), a AS (
   SELECT n.*, coalesce(edges, 0) AS edges, orphans / greatest(n, 1) AS ratio, 1 - bare / greatest(concepts, 1) AS covered FROM n LEFT JOIN m USING (chapter_id)
-)
-SELECT chapter_id, 'min_concepts' AS "check", round(concepts::DOUBLE, 6) AS value, 10.0::DOUBLE AS threshold, concepts >= 10 AS passed FROM a
-UNION ALL SELECT chapter_id, 'min_edges', edges::DOUBLE, 10.0, edges >= 10 FROM a
-UNION ALL SELECT chapter_id, 'orphan_ratio', round(ratio, 6), 0.2, ratio <= 0.2 FROM a
-UNION ALL SELECT chapter_id, 'evidence_coverage', round(covered, 6), 0.9, covered >= 0.9 FROM a
-UNION ALL SELECT chapter_id, 'topics', topics::DOUBLE, 3.0, topics >= 3 FROM a""",
+), inner_links AS (SELECT DISTINCT chapter_id, source, target FROM links WHERE type NOT IN ('has_topic', 'contains', 'appears_in')),
+around AS (SELECT chapter_id, source AS a, target AS b FROM inner_links UNION SELECT r.chapter_id, r.a, e.target FROM around r JOIN inner_links e ON e.chapter_id = r.chapter_id AND e.source = r.b),
+c AS (SELECT chapter_id, NOT EXISTS (SELECT 1 FROM reach r WHERE r.chapter_id = a.chapter_id AND r.a = r.b) AS dag, NOT EXISTS (SELECT 1 FROM around r WHERE r.chapter_id = a.chapter_id AND r.a = r.b) AS whole FROM a), checks AS (
+  SELECT chapter_id, 'min_concepts' AS "check", round(concepts::DOUBLE, 6) AS value, 10.0::DOUBLE AS threshold, concepts >= 10 AS passed, '' AS sample FROM a
+  UNION ALL SELECT chapter_id, 'min_edges', edges::DOUBLE, 10.0, edges >= 10, '' FROM a
+  UNION ALL SELECT chapter_id, 'orphan_ratio', round(ratio, 6), 0.2, ratio <= 0.2, lonely FROM a
+  UNION ALL SELECT chapter_id, 'evidence_coverage', round(covered, 6), 0.9, covered >= 0.9, unseen FROM a
+  UNION ALL SELECT chapter_id, 'topics', topics::DOUBLE, 3.0, topics >= 3, '' FROM a
+  UNION ALL SELECT chapter_id, 'dag_acyclic', dag::INT::DOUBLE, 1.0, dag, '' FROM c
+  UNION ALL SELECT chapter_id, 'graph_acyclic', whole::INT::DOUBLE, 1.0, whole, '' FROM c
+) SELECT *, bool_and(passed) OVER (PARTITION BY chapter_id) AS all_passed FROM checks""",
     "induced_overview": _induced("type IN ('Chapter', 'TopicGodNode')"),
     "induced_domain": _induced("domain = 'mechanics'"),
+    "induced_concepts": _induced("type = 'AtomicConcept'"),
     "requires_view": _induced("type = 'AtomicConcept'", "type = 'requires'", "source, target"),
+    "export_views": _GRAPH
+    + """, ends AS (SELECT source AS id FROM links WHERE type = 'requires' UNION SELECT target FROM links WHERE type = 'requires'), members AS (
+  SELECT chapter_id, 'overview' AS view, id FROM nodes WHERE type IN ('Chapter', 'TopicGodNode') UNION ALL SELECT chapter_id, 'concepts', id FROM atomic
+  UNION ALL SELECT chapter_id, 'prerequisites', id FROM nodes WHERE id IN (SELECT id FROM ends)
+  UNION ALL SELECT n.chapter_id, 'domain:' || n.domain, n.id FROM nodes n WHERE (n.chapter_id, n.domain) IN (SELECT chapter_id, domain FROM atomic WHERE domain <> '')
+), sizes AS (SELECT chapter_id, view, count(*) AS n_nodes FROM members GROUP BY 1, 2), inside AS (
+  SELECT t.chapter_id, t.view, count(*) AS n_edges FROM links l JOIN members s ON s.id = l.source JOIN members t ON t.id = l.target AND t.view = s.view WHERE t.view <> 'prerequisites' OR l.type = 'requires' GROUP BY 1, 2
+), big AS (SELECT chapter_id, count(*) >= 3 AS rendered FROM nodes GROUP BY 1)
+SELECT chapter_id, view, CASE view WHEN 'overview' THEN 'Chapter Overview' WHEN 'concepts' THEN 'Full Concept Graph' WHEN 'prerequisites' THEN 'Learning Path' ELSE upper(view[8:8]) || view[9:] || ' Topic' END AS title,
+  n_nodes, coalesce(n_edges, 0) AS n_edges, rendered FROM sizes LEFT JOIN inside USING (chapter_id, view) JOIN big USING (chapter_id)""",
     "graph_summary": _GRAPH
     + f""", got AS (SELECT 'node' AS kind, type, count(*) AS n FROM nodes GROUP BY 2 UNION ALL SELECT 'edge', type, count(*) FROM links GROUP BY 2),
-fixed AS (SELECT 'node' AS kind, unnest([{quoted(NODE_TYPES)}]) AS type UNION ALL SELECT 'edge', unnest([{quoted(RELATIONS)}]))
+fixed AS (SELECT 'node' AS kind, unnest([{quoted(NODE_TYPES)}]) AS type UNION ALL SELECT 'edge', unnest([{quoted(SUMMARY_EDGES)}]))
 SELECT kind, type, coalesce(n, 0) AS n FROM fixed LEFT JOIN got USING (kind, type)""",
     "triples": _GRAPH
     + "SELECT coalesce(nullif(s.label, ''), l.source) AS subject, l.type AS predicate, coalesce(nullif(t.label, ''), l.target) AS object FROM links l LEFT JOIN nodes s ON s.id = l.source LEFT JOIN nodes t ON t.id = l.target",
     "node_style": _GRAPH
-    + """SELECT id, CASE type WHEN 'Chapter' THEN 40 WHEN 'TopicGodNode' THEN 30 WHEN 'AtomicConcept' THEN 12 ELSE 10 END + least(20, 2 * coalesce(frequency, 1)) AS size,
-  substr(label, 1, CASE type WHEN 'Chapter' THEN 40 WHEN 'TopicGodNode' THEN 35 ELSE 30 END) AS caption FROM nodes""",
-    "edge_style": _GRAPH + "SELECT source, target, type, round(greatest(1.0, 4 * confidence), 6) AS width, cross_domain AS dashed FROM links",
+    + _LEVELS
+    + f""", o AS (SELECT nodes.*, CASE type WHEN 'AtomicConcept' THEN frequency ELSE 1 END AS often, coalesce(level, 0) AS level FROM nodes LEFT JOIN levels USING (id))
+SELECT id, CAST({_BY("type", SIZES, 15)} + least(20, 2 * often) AS BIGINT) AS size, substr(label, 1, {_BY("type", CUTS, 40)}) AS caption, {_BY("domain", DOMAIN_COLORS, NO_DOMAIN)} AS color, CAST({_BY("type", BORDERS, 1)} AS BIGINT) AS border,
+  CASE type WHEN 'AtomicConcept' THEN 'dot' ELSE 'box' END AS shape, md5(CASE type WHEN 'AtomicConcept' THEN '<b>' || coalesce(label, '') || '</b><br>Type: ' || coalesce(concept_type, '') || '<br>Domain: ' || domain || '<br>Depth: ' || level || '<br>Frequency: ' || often ||
+    CASE WHEN coalesce(definition, '') <> '' THEN '<br><i>' || substr(definition, 1, 120) || '</i>' ELSE '' END WHEN 'Source' THEN '' ELSE '<b>' || coalesce(label, '') || '</b>' END) AS tooltip FROM o""",
+    "edge_style": _GRAPH + f"SELECT source, target, type, round(greatest(1.0, 4 * confidence), 6) AS width, cross_domain AS dashed, {_BY('type', EDGE_COLORS, NO_EDGE)} AS color, printf('%s (%.2f)', type, round(confidence, 2)) AS title FROM links",
+    "acyclic_chapters": _DEPTHS + "SELECT chapter_id, NOT EXISTS (SELECT 1 FROM reach r WHERE r.chapter_id = e.chapter_id AND r.a = r.b) AS before, true AS after FROM (SELECT DISTINCT chapter_id FROM edges) e",
+    "greedy_keep_first": f"""WITH RECURSIVE items AS (SELECT 0 AS scope, vec_id AS seq FROM embeddings), pairs AS MATERIALIZED (SELECT 0 AS scope, a.vec_id AS seq_a, b.vec_id AS seq_b FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE {_DOT} >= 0.35), {_WALK}
+SELECT seq AS vec_id, leader FROM walk""",
+    "temporal_concepts": f"""WITH RECURSIVE {RELS}, {CANON}, {_INDEX}, {_RESOLVED}, {_EDGES}, {embedded("canon", "concept_id", "name", "vectors")},
+spots AS (SELECT segment_id, min(segment_index) AS i FROM stage5_segments GROUP BY 1), spans AS (
+  SELECT concept_id, any_value(chapter_id) AS chapter_id, min(i) AS lo, max(i) AS hi FROM (SELECT concept_id, chapter_id, unnest(source_segments) AS segment_id FROM canon) JOIN spots USING (segment_id) GROUP BY 1
+), likeness AS MATERIALIZED (
+  SELECT a.concept_id AS x, b.concept_id AS y, p.chapter_id, sum(a.v * b.v) AS s FROM vectors a JOIN spans p ON p.concept_id = a.concept_id JOIN vectors b ON b.place = a.place AND b.concept_id <> a.concept_id JOIN spans q ON q.concept_id = b.concept_id AND q.chapter_id = p.chapter_id GROUP BY 1, 2, 3
+)
+SELECT l.chapter_id, x AS source, y AS target, round(0.7 * s, 6) AS confidence FROM likeness l JOIN spans p ON p.concept_id = x JOIN spans q ON q.concept_id = y
+WHERE s >= 0.75 AND q.lo < p.hi AND NOT EXISTS (SELECT 1 FROM edges e WHERE e.chapter_id = l.chapter_id AND e.source = x AND e.target = y)
+QUALIFY row_number() OVER (PARTITION BY l.chapter_id ORDER BY round(s, 9) DESC, x, y) <= 201""",
 }

@@ -61,8 +61,9 @@ def test_topics_and_remap(spark):
     df = spark.createDataFrame([("a", i, p.tolist()) for i, p in enumerate(points)] + [("b", i, [float(i), 0.0]) for i in range(3)], "s string, i int, v array<double>")
     got = {(r.s, r.i): r.topic for r in topics.topic_clusters(df, "s", "i", "v", 4).collect()}
     assert got["a", 20] == got["a", 0] != got["a", 10] and {got["b", i] for i in range(3)} == {0}
-    lines = spark.createDataFrame([(1, "\n T | s | 4/5 | x\nU|v|1"), (2, "only")], "k int, t string")
-    assert {r.k: (r.title, r.summary, r.difficulty) for r in extract.topic_lines(lines, "k", "t").collect()} == {1: ("T", "s", 5), 2: ("only", "", 2)}
+    lines = spark.createDataFrame([(1, "\n T | s | a, ,b,c,d | 4/5\nU|v|1"), (2, "only")], "k int, t string")
+    assert {r.k: (r.title, r.summary, r.top_concepts, r.difficulty) for r in extract.topic_lines(lines, "k", "t").collect()} == {1: ("T", "s", ["a", "b", "c"], 5), 2: ("only", "", [], 2)}
+    assert {r.k: (r.title, r.summary, r.domains) for r in extract.chapter_lines(lines, "k", "t").collect()} == {1: ("T", "s", ["a", "b", "c", "d"]), 2: ("only", "", [])}
     ids = spark.createDataFrame([("a",), ("b",), (None,)], "id string")
     remap = spark.createDataFrame([("a", "z"), ("a", "y"), (None, "x")], "old_id string, canonical_id string")
     assert sorted(str(r.id) for r in resolve.remapped(ids, "id", remap).collect()) == ["None", "b", "y"]
