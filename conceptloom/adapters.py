@@ -7,6 +7,7 @@ replies can stand in for one. Without either a call-out is refused, never faked.
 from __future__ import annotations
 
 import hashlib
+import string
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -48,6 +49,45 @@ def decided(clusters: DataFrame, replies: DataFrame, key: str) -> DataFrame:
     return recorded(clusters.select(key).distinct(), replies, key).select(key, F.startswith(said, F.lit("yes")).alias("merge"))
 
 
+def prompt(template: str, **columns: Column) -> Column:
+    """A template with {name} marks filled from columns; a null gives an empty text, an unknown mark is an error."""
+    parts = []
+    for literal, name, _, _ in string.Formatter().parse(template):
+        parts += [F.lit(literal)] if literal else []
+        if name is not None:
+            parts.append(F.coalesce(columns[name].cast("string"), F.lit("")))
+    return F.concat(*parts) if parts else F.lit("")
+
+
+def language_of(label: Column, default: str = "en") -> Column:
+    """A language label in lower case, cut before the first - or _; without one the default."""
+    return F.coalesce(F.nullif(F.regexp_extract(F.lower(F.trim(label)), "^([^-_]*)", 1), F.lit("")), F.lit(default))
+
+
+def embedder_for(language: Column, english: str, other: str) -> Column:
+    """Which of two embedding models a text takes."""
+    return F.when(language == "en", english).otherwise(other)
+
+
+def probed(videos: DataFrame, adapter: Adapter | None) -> DataFrame:
+    """(path, duration, subtype) of videos (path) by a probe; one that fails gives no row, and its unit keeps the defaults."""
+    return call_out(videos.select("path"), adapter, "path string, duration double, subtype string")
+
+
+def image_vectors(frames: DataFrame, adapter: Adapter | None, size: int = 512) -> DataFrame:
+    """(frame_path, embedding) by an image model; a frame for which it has none gets zeros, so that it stays in its video."""
+    made = call_out(frames.select("frame_path").distinct(), adapter, "frame_path string, embedding array<float>").dropDuplicates(["frame_path"])
+    return frames.select("frame_path").distinct().join(made, "frame_path", "left").select("frame_path", F.coalesce("embedding", F.array_repeat(F.lit(0.0), size).cast("array<float>")).alias("embedding"))
+
+
+def with_transcripts(units: DataFrame, texts: DataFrame) -> DataFrame:
+    """Units with the texts (unit_id, text) of a speech model, or of sibling files, as raw_text of videos; other units, and videos
+    without a text, stay as they are."""
+    one = texts.groupBy("unit_id").agg(F.min("text").alias("__text"))
+    new = F.when(F.col("source_type") == "video", F.coalesce("__text", "raw_text")).otherwise(F.col("raw_text"))
+    return units.join(one, "unit_id", "left").withColumn("raw_text", new).select(units.columns)
+
+
 def hashed_embedding(text: Column, size: int = 64) -> Column:
     """A unit vector of hashed words, the default where no embedder is supplied; a text without words gives zeros.
 

@@ -29,6 +29,7 @@ class EngineConfig:
     max_orphan_ratio: float = 0.2
     min_coverage: float = 0.9
     max_concepts: int = 20
+    first_confidence: float = 1.0
     max_relations: int = 20
     max_prerequisites: int = 10
     frames_per_video: int = 120

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from conceptloom.config import CONCEPT_TYPES, RELATIONS
-from conceptloom.functions.text import confidence_of, digits_clamped, lines, pipe_parts, relation_form, strip_white
+from conceptloom.adapters import prompt
+from conceptloom.config import CONCEPT_TYPES, DEFAULTS, RELATIONS, EngineConfig
+from conceptloom.functions.text import confidence_of, digits_clamped, lines, pipe_parts, relation_form, strip_white, think_stripped
 
 
 def _lines(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -99,3 +100,36 @@ def chapter_lines(df: DataFrame, key: str, text: str) -> DataFrame:
     """TITLE | SUMMARY | DOMAINS, the first line that isn't blank: (key, title, summary, domains), the title cut to 100 characters."""
     rows = _first(_lines(df, key, text), key, 1)
     return rows.select(key, F.substring(_part(0), 1, 100).alias("title"), F.coalesce(_part(1), F.lit("")).alias("summary"), _named(F.coalesce(_part(2), F.lit(""))).alias("domains"))
+
+
+def pass_prompts(segments: DataFrame, templates: dict[str, str], concepts: DataFrame | None = None, limit: int = 800) -> DataFrame:
+    """(segment_id, pass, prompt): the first pass over every segment, the second and third over those in which the first found
+    concepts (segment_id, line_no, name), with a list of them and the first ``limit`` characters of the text."""
+    text, domain = F.coalesce("merged_text", F.lit("")), F.coalesce(F.nullif("domain", F.lit("")), F.lit("general"))
+    if concepts is None:
+        return segments.select("segment_id", F.lit(1).alias("pass"), prompt(templates["concepts"], domain=domain, merged_text=text).alias("prompt"))
+    listed = concepts.groupBy("segment_id").agg(F.array_sort(F.collect_list(F.struct("line_no", "name"))).alias("l"))  # at most as many as a reply has lines
+    names = F.array_join(F.transform("l", lambda x: F.concat(F.lit("- "), x["name"])), "\n")
+    made = segments.join(listed, "segment_id").withColumn("p", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("pass"), prompt(templates[t], concept_list=names, context_short=F.substring(text, 1, limit)).alias("prompt")) for k, t in ((2, "relations"), (3, "prerequisites"))
+    ])))
+    return made.select("segment_id", "p.*")
+
+
+def extracted(segments: DataFrame, replies: DataFrame, config: EngineConfig = DEFAULTS) -> tuple[DataFrame, DataFrame]:
+    """(concepts, relations) of segments (segment_id, merged_text) from replies (segment_id, pass, reply) and from question texts.
+
+    Segments that are questions and answers are parsed themselves, the others by their replies: concepts of the first pass;
+    relations and prerequisites of the second and third only where the first gave a concept. Both tables unite all rows.
+    """
+    asks = is_question(F.coalesce("merged_text", F.lit("")))
+    said = lambda k: replies.filter(F.col("pass") == k).join(segments.filter(~asks).select("segment_id"), "segment_id", "left_semi").withColumn("reply", think_stripped("reply"))
+    found = concept_lines(said(1), "segment_id", "reply", config.max_concepts)
+    some = found.select("segment_id").distinct()
+    questions = question_lines(segments.filter(asks), "segment_id", "merged_text")
+    base = F.lit(config.first_confidence).alias("confidence")
+    concepts = found.select("segment_id", "name", "type", "definition", base).unionByName(question_concepts(questions, "segment_id"))
+    second = relation_lines(said(2), "segment_id", "reply", config.max_relations).select("segment_id", "source_name", "relation", "target_name", "confidence", F.lit(None).cast("boolean").alias("is_prereq"))
+    third = prerequisite_lines(said(3), "segment_id", "reply", config.max_prerequisites).select("segment_id", "source_name", "relation", "target_name", "confidence", "is_prereq")
+    asked = question_relations(questions, "segment_id").withColumn("is_prereq", F.lit(False))
+    return concepts, second.unionByName(third).join(some, "segment_id", "left_semi").unionByName(asked)

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from conceptloom.functions.vectors import distance
+from conceptloom.functions.vectors import distance, unit
 from conceptloom.operators.ordered import running_counts
 from conceptloom.operators.pairs import similar_pairs
 from conceptloom.operators.resolve import leaders
@@ -64,6 +64,40 @@ def keep_first(vectors: DataFrame, scope: str, seq: str, vector: str, threshold:
     return led.withColumnRenamed("seq", seq)
 
 
+def keep_first_scenes(frames: DataFrame, histogram: str, threshold: float = 0.98) -> DataFrame:
+    """Frames (frame_path, timestamp_sec, histogram: array<double>) less those whose colour histogram correlates with that of a frame
+    kept before by at least the threshold; by time, over all videos. A frame without a histogram is kept.
+
+    The correlation of two histograms is the dot product of what is left of them less their mean, at length 1, so this is greedy
+    keep-first on vectors; a flat histogram, which has none, is like other flat ones.
+    """
+    rows = frames.dropDuplicates(["frame_path"]).select("frame_path", "timestamp_sec", F.col(histogram).alias("__h"))
+    counted = running_counts(rows.withColumn("__all", F.lit(0)), ["__all"], ["timestamp_sec", "frame_path"], F.floor(F.coalesce("timestamp_sec", F.lit(0.0)) / F.lit(60)))
+    saved = Scratch(frames.sparkSession, "scenes").save(counted.select("frame_path", F.col("n").alias("seq"), "__h"), "rows")
+    mean = F.aggregate("__h", F.lit(0.0), lambda s, x: s + x) / F.size("__h")
+    centred = F.transform("__h", lambda x: x - mean)
+    flat = F.concat(F.array(F.lit(1.0)), F.transform("__h", lambda x: F.lit(0.0)))
+    vector = F.when(F.exists(centred, lambda x: F.abs(x) > 1e-15), F.concat(F.array(F.lit(0.0)), unit(centred))).otherwise(flat)
+    led = keep_first(saved.filter("__h is not null").select(F.lit(0).alias("scope"), "seq", vector.alias("v")), "scope", "seq", "v", threshold)
+    return saved.join(led, "seq", "left").filter(F.col("leader").isNull() | (F.col("leader") == F.col("seq"))).select("frame_path", "seq")
+
+
+def clusters_by_subtype(frames: DataFrame, wanted: dict[str, int], default: int = 120) -> DataFrame:
+    """(video_path, k): how many clusters each video gets: what its subtype (of its first frame) wants, at most its frames."""
+    n = frames.dropDuplicates(["frame_path"]).groupBy("video_path").agg(F.count(F.lit(1)).alias("n"), F.min_by("subtype", F.struct("timestamp_sec", "frame_path")).alias("subtype"))
+    want = F.lit(default)
+    for name, k in wanted.items():
+        want = F.when(F.col("subtype") == name, k).otherwise(want)
+    return n.select("video_path", F.least(want.cast("long"), F.col("n")).alias("k"))
+
+
+def densest_of_single_clusters(frames: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(video_path, frame_path, cluster) of videos that get at most one cluster: their frame of highest text density, the first of equals."""
+    one = frames.dropDuplicates(["frame_path"]).join(sizes.filter("k <= 1").select("video_path"), "video_path", "left_semi")
+    density = F.coalesce(F.nanvl(F.col("text_density"), F.lit(None)), F.lit(0.0))
+    return one.groupBy("video_path").agg(F.min_by("frame_path", F.struct(-density, F.col("timestamp_sec"), F.col("frame_path"))).alias("frame_path")).select("video_path", "frame_path", F.lit(0).alias("cluster"))
+
+
 def kmeans(points: np.ndarray, k: int, rounds: int = 25, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
     """(labels, centres): Lloyd's rounds from a farthest-first start; empty clusters keep their centre."""
     k = max(1, min(k, len(points)))

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from conceptloom.config import DEFAULTS, DOMAINS
 from conceptloom.functions.text import digits_clamped, name_form, normal_name, think_stripped
-from conceptloom.adapters import hashed_embedding, pending
+from conceptloom.adapters import embedder_for, hashed_embedding, language_of, pending
 from conceptloom.operators import clusters, extract, frames, graph, ordered, pairs, prereqs, resolve, segments, topics
 from conceptloom.runtime import Scratch, table
-from conceptloom.sources import readers
+from conceptloom.sources import readers, sinks
 
 QUERIES = {}
 
@@ -111,6 +111,108 @@ def modality_coverage(s: SparkSession, d: str) -> DataFrame:
     return _units(s, d).groupBy("chapter_id").agg(F.count_distinct("source_type").alias("n_types"), F.count_distinct("source_path").alias("n_sources"), F.count_distinct("unit_id").alias("n_units"))
 
 
+# Texts as files would hold them, made of the tables, through the readers
+
+
+@query
+def read_cues(s: SparkSession, d: str) -> DataFrame:
+    """Subtitles of each video made of its units, read back as cues."""
+    clock = lambda c: F.concat(F.format_string("%02d:%02d:%02d", (F.col(c) / 3600).cast("int"), (F.col(c) % 3600 / 60).cast("int"), (F.col(c) % 60).cast("int")), F.lit(","), F.format_string("%03d", F.floor(F.col(c) * 1000).cast("long") % 1000))
+    rows = _units(s, d).filter("source_type = 'video' AND span_start >= 0 AND span_end >= 0").dropDuplicates(["unit_id"])
+    block = F.concat(clock("span_start"), F.lit(" --> "), clock("span_end"), F.lit("\n"), F.regexp_replace(F.coalesce("raw_text", F.lit("")), r"[\r\n]+", " "))
+    texts = rows.groupBy(F.col("source_path").alias("path")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("unit_seq", "unit_id", block.alias("b")))), lambda x: x.b), "\n\n").alias("text"))
+    return readers.cue_units_of(texts, "c").groupBy("source_path").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.round("span_start", 3)), 3).alias("starts"), F.sum(F.char_length("raw_text")).alias("characters"))
+
+
+@query
+def read_questions(s: SparkSession, d: str) -> DataFrame:
+    """Exam items as question banks, one for each exam, read back as units."""
+    item = F.struct(F.col("text").alias("question"), "answer", F.array("exam", "lang").alias("wrong"))
+    texts = table(s, d, "eval_items").groupBy(F.col("exam").alias("path")).agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("item_id", item.alias("i")))), lambda x: x.i).alias("items"))).alias("text"))
+    return readers.question_units_of(texts, "c").select("source_path", "unit_seq", "confidence", F.md5("raw_text").alias("text_md5"))
+
+
+@query
+def read_transcripts(s: SparkSession, d: str) -> DataFrame:
+    """Units of each video as transcript JSON, read back as text units."""
+    rows = _units(s, d).filter("source_type = 'video'").dropDuplicates(["unit_id"])
+    item = F.struct(F.col("span_start").alias("start"), F.col("span_end").alias("end"), F.col("raw_text").alias("text"))
+    texts = rows.groupBy(F.col("source_path").alias("path")).agg(F.to_json(F.struct(F.transform(F.array_sort(F.collect_list(F.struct("unit_seq", "unit_id", item.alias("i")))), lambda x: x.i).alias("segments"))).alias("text"))
+    return readers.transcript_units_of(texts, "c").select("source_path", "unit_seq", "source_type", "span_start", "span_end", F.md5("raw_text").alias("text_md5"))
+
+
+@query
+def read_unknown_json(s: SparkSession, d: str) -> DataFrame:
+    texts = table(s, d, "eval_items").select(F.col("exam").alias("path"), "item_id", F.when(F.col("item_id") % 3 == 0, F.lit("{broken")).otherwise(F.to_json(F.array("text", "answer"))).alias("text"))
+    return readers.unknown_json_units_of(texts, "c").groupBy("source_path", "span_end").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("raw_text") == "[]").alias("empty"))
+
+
+@query
+def read_texts(s: SparkSession, d: str) -> DataFrame:
+    """Documents as text files in the order of their names, blank ones counted."""
+    texts = table(s, d, "documents").select(F.lpad(F.col("doc_id").cast("string"), 20, "0").alias("path"), "text")
+    return readers.text_units_of(texts, "c").select("source_path", F.col("unit_seq").alias("ordinal"), F.md5("raw_text").alias("text_md5"))
+
+
+@query
+def read_json_lines(s: SparkSession, d: str) -> DataFrame:
+    """Transcript units written as JSON lines and read again."""
+    path = Scratch(s, "jsonl").base + "/units"
+    sinks.write_json_lines(_units(s, d).select("unit_id", "raw_text", "span_start").distinct(), path)
+    return readers.json_lines(s, path, "unit_id string, raw_text string, span_start double").select("unit_id", F.md5("raw_text").alias("text_md5"), "span_start", F.col("_corrupt").isNull().alias("whole"))
+
+
+@query
+def visual_pages(s: SparkSession, d: str) -> DataFrame:
+    return readers.visual_pages(_units(s, d)).select("unit_id").distinct()
+
+
+@query
+def page_units(s: SparkSession, d: str) -> DataFrame:
+    """Pages of at least 40 words in threes, the others as images where they have one."""
+    pages = _units(s, d).filter("source_type = 'pdf'").dropDuplicates(["unit_id"]).select(F.col("source_path").alias("path"), F.col("unit_seq").alias("page"), F.col("raw_text").alias("text"), F.when(F.col("unit_seq") % 2 == 0, F.concat(F.col("source_path"), F.lit(".png"))).alias("image"))
+    return readers.page_units(pages, "c", 40).select("source_path", "unit_seq", "span_start", "span_end", F.md5("raw_text").alias("text_md5"), F.array_join("keyframe_paths", ",").alias("images"))
+
+
+@query
+def video_units(s: SparkSession, d: str) -> DataFrame:
+    """A unit for each video of the frames; those of even names were probed."""
+    listed = _frames(s, d).select(F.col("video_path").alias("path"), F.lit("video").alias("kind")).distinct()
+    probe = _frames(s, d).filter(F.char_length("video_path") % 2 == 0).groupBy(F.col("video_path").alias("path")).agg(F.max("timestamp_sec").alias("duration"), F.min("subtype").alias("subtype"))
+    return readers.media_units(listed, "video", "c", probe).select("source_path", "video_subtype", "span_end")
+
+
+@query
+def clusters_by_subtype(s: SparkSession, d: str) -> DataFrame:
+    return frames.clusters_by_subtype(_frames(s, d), {"lecture": 12, "animation": 30, "lab": 1}, 25)
+
+
+@query
+def languages_of_units(s: SparkSession, d: str) -> DataFrame:
+    language = language_of(F.col("lang"))
+    return _units(s, d).select("unit_id", language.alias("language"), embedder_for(language, "small", "multilingual").alias("embedder")).distinct()
+
+
+def _replies(s, d):
+    """What was extracted of each segment, as the replies of the three passes."""
+    joined = lambda rows, seq: rows.groupBy("segment_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(seq, "raw_line"))), lambda x: x.raw_line), "\n").alias("reply"))
+    rels = _rels(s, d).dropDuplicates(["relation_id"])
+    one = joined(_raw(s, d).dropDuplicates(["concept_id"]).select("segment_id", F.col("concept_seq").alias("q"), "raw_line"), "q").withColumn("pass", F.lit(1))
+    two = joined(rels.filter("relation <> 'requires'").select("segment_id", F.col("relation_seq").alias("q"), "raw_line"), "q").withColumn("pass", F.lit(2))
+    return one.unionByName(two).unionByName(joined(rels.filter("relation = 'requires'").select("segment_id", F.col("relation_seq").alias("q"), "raw_line"), "q").withColumn("pass", F.lit(3)))
+
+
+@query
+def extracted_concepts(s: SparkSession, d: str) -> DataFrame:
+    got, _ = extract.extracted(_segs(s, d).dropDuplicates(["segment_id"]), _replies(s, d))
+    return got.select("segment_id", "name", "type", F.md5("definition").alias("definition_md5"), "confidence")
+
+
+@query
+def extracted_relations(s: SparkSession, d: str) -> DataFrame:
+    return extract.extracted(_segs(s, d).dropDuplicates(["segment_id"]), _replies(s, d))[1]
+
+
 # Spans, frames and segments
 
 

@@ -230,10 +230,27 @@ lines AS (
 )"""
 
 
+
+def _reply(k: str, table: str, key: str, seq: str, where: str = "true") -> str:
+    """Lines of the replies of one pass, cut at pipes, of segments that aren't questions."""
+    return f"""said{k} AS (
+  SELECT segment_id, string_agg(raw_line, chr(10) ORDER BY {seq}) AS t FROM (SELECT DISTINCT ON ({key}) * FROM {table}) WHERE raw_line IS NOT NULL AND {where} AND segment_id IN (SELECT segment_id FROM segs WHERE NOT asks) GROUP BY 1
+), lines{k} AS (
+  SELECT segment_id, line_no, {strip("line")} AS line FROM (SELECT segment_id, unnest(regexp_split_to_array(t, '{LINE_END}')) AS line, generate_subscripts(regexp_split_to_array(t, '{LINE_END}'), 1) AS line_no FROM said{k})
+), cut{k} AS (SELECT segment_id, line_no, list_transform(string_split(line, '|'), lambda x: {strip("x")}) AS p FROM lines{k} WHERE line <> '' AND line NOT LIKE '#%')"""
+
+
 _SUFFIX = "lower(regexp_extract(regexp_extract(source_path, '([^/]*)$', 1), '.(\\.[^.]+)$', 1))"
 _KIND = "CASE " + " ".join(f"WHEN {_SUFFIX} IN ({quoted(v)}) THEN '{k}'" for k, v in EXTENSIONS.items()) + " ELSE 'skip' END"
 _DENSITY = "coalesce(CASE WHEN isnan(text_density) THEN NULL ELSE text_density END, -1.0)"
 _Q = lambda mark: strip(f"substr(max_by(line, line_no) FILTER (line LIKE '{mark}%'), {len(mark) + 1})")
+_EXTRACTED = f"""segs AS (SELECT DISTINCT ON (segment_id) *, coalesce({strip("merged_text")} LIKE 'Q:%' AND merged_text LIKE '%A:%', false) AS asks FROM stage5_segments),
+{_reply("1", "stage6_raw_concepts", "concept_id", "concept_seq")}, {_reply("2", "stage6_raw_relations", "relation_id", "relation_seq", "relation <> 'requires'")}, {_reply("3", "stage6_raw_relations", "relation_id", "relation_seq", "relation = 'requires'")},
+pass1 AS (SELECT * FROM cut1 WHERE len(p) >= 3 AND length(p[1]) BETWEEN 1 AND 120 QUALIFY row_number() OVER (PARTITION BY segment_id ORDER BY line_no) <= 20),
+asked AS (SELECT segment_id, line_no, {strip("line")} AS line FROM (
+  SELECT segment_id, unnest(regexp_split_to_array(merged_text, '{LINE_END}')) AS line, generate_subscripts(regexp_split_to_array(merged_text, '{LINE_END}'), 1) AS line_no FROM segs WHERE asks)),
+qa AS (SELECT * FROM (SELECT segment_id, {_Q("Q:")} AS q, {_Q("A:")} AS a, substr(max_by(line, line_no) FILTER (line LIKE 'Wrong:%'), 7) AS ws FROM asked GROUP BY 1) WHERE q <> '' AND a <> ''),
+wrong AS (SELECT segment_id, q, unnest(list_filter(list_transform(string_split(ws, ','), lambda x: {strip("x")}), lambda x: x <> '')) AS w FROM qa)"""
 _NAMED = f"list_filter(list_transform(string_split(coalesce(p[3], ''), ','), lambda x: {strip('x')}), lambda x: x <> '')"
 _DOT = "list_inner_product(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[]))"
 
@@ -275,6 +292,25 @@ SELECT * FROM r WHERE place <= 10""",
     "unit_frames": f"""WITH {FRAMES}, r AS (
   SELECT unit_id, coalesce(nullif(selected_frame_path, ''), frame_path) AS path, row_number() OVER (PARTITION BY unit_id ORDER BY timestamp_sec NULLS LAST, frame_path) AS r FROM frames WHERE coalesce(unit_id, '') <> ''
 ) SELECT unit_id, count(*) AS n, string_agg(path, ',' ORDER BY r) AS paths FROM r GROUP BY 1""",
+    "read_cues": f"""WITH {UNITS}, c AS (SELECT source_path, floor(span_start * 1000) / 1000 AS a, {strip("regexp_replace(coalesce(raw_text, ''), '[\\r\\n]+', ' ', 'g')")} AS t FROM units WHERE source_type = 'video' AND span_start >= 0 AND span_end >= 0)
+SELECT source_path, count(*) AS n, round(sum(round(a, 3)), 3) AS starts, CAST(sum(length(t)) AS BIGINT) AS characters FROM c WHERE t <> '' GROUP BY 1""",
+    "read_questions": "SELECT exam AS source_path, row_number() OVER (PARTITION BY exam ORDER BY item_id) - 1 AS unit_seq, CAST(0.95 AS DOUBLE) AS confidence, md5('Q: ' || text || chr(10) || 'A: ' || answer || chr(10) || 'Wrong: ' || exam || ', ' || lang) AS text_md5 FROM eval_items",
+    "read_transcripts": f"""WITH {UNITS} SELECT source_path, row_number() OVER (PARTITION BY source_path ORDER BY unit_seq, unit_id) - 1 AS unit_seq, 'text' AS source_type, span_start, span_end, md5(coalesce(raw_text, '')) AS text_md5
+FROM units WHERE source_type = 'video'""",
+    "read_unknown_json": "SELECT exam AS source_path, CASE WHEN item_id % 3 = 0 THEN 0.0::DOUBLE ELSE 2.0::DOUBLE END AS span_end, count(*) AS n, count_if(item_id % 3 = 0) AS empty FROM eval_items GROUP BY 1, 2",
+    "read_texts": f"SELECT source_path, ordinal, text_md5 FROM (SELECT lpad(CAST(doc_id AS VARCHAR), 20, '0') AS source_path, row_number() OVER (ORDER BY lpad(CAST(doc_id AS VARCHAR), 20, '0')) - 1 AS ordinal, md5(text) AS text_md5, {strip('text')} AS t FROM documents) WHERE t <> ''",
+    "read_json_lines": "SELECT DISTINCT unit_id, md5(raw_text) AS text_md5, span_start, true AS whole FROM (SELECT DISTINCT unit_id, raw_text, span_start FROM stage3_transcripts)",
+    "visual_pages": "SELECT DISTINCT unit_id FROM stage3_transcripts WHERE source_type = 'pdf' AND coalesce(raw_text, '') = ''",
+    "page_units": f"""WITH {UNITS}, p AS (SELECT source_path, unit_seq, raw_text, coalesce(len({words("raw_text")}), 0) AS n FROM units WHERE source_type = 'pdf'),
+t AS (SELECT *, (row_number() OVER (PARTITION BY source_path ORDER BY unit_seq) - 1) // 3 AS chunk FROM p WHERE n >= 40)
+SELECT source_path, min(unit_seq) AS unit_seq, min(unit_seq)::DOUBLE AS span_start, max(unit_seq)::DOUBLE AS span_end, md5(string_agg(raw_text, chr(10) || chr(10) ORDER BY unit_seq)) AS text_md5, '' AS images FROM t GROUP BY source_path, chunk
+UNION ALL SELECT source_path, unit_seq, unit_seq::DOUBLE, unit_seq::DOUBLE, md5(''), source_path || '.png' FROM p WHERE n < 40 AND unit_seq % 2 = 0""",
+    "video_units": f"""WITH {FRAMES}, p AS (SELECT video_path, max(timestamp_sec) AS duration, min(subtype) AS subtype FROM stage2_selected_frames WHERE length(video_path) % 2 = 0 GROUP BY 1)
+SELECT DISTINCT f.video_path AS source_path, coalesce(p.subtype, 'unknown') AS video_subtype, coalesce(p.duration, 0.0) AS span_end FROM frames f LEFT JOIN p USING (video_path)""",
+    "clusters_by_subtype": f"""WITH {FRAMES}, v AS (SELECT video_path, count(*) AS n, first(subtype ORDER BY timestamp_sec NULLS FIRST, frame_path) AS subtype FROM frames GROUP BY 1)
+SELECT video_path, CAST(least(CASE subtype WHEN 'lecture' THEN 12 WHEN 'animation' THEN 30 WHEN 'lab' THEN 1 ELSE 25 END, n) AS BIGINT) AS k FROM v""",
+    "languages_of_units": """SELECT DISTINCT unit_id, language, CASE language WHEN 'en' THEN 'small' ELSE 'multilingual' END AS embedder
+FROM (SELECT unit_id, coalesce(nullif(regexp_extract(lower(trim(lang, ' ')), '^([^-_]*)', 1), ''), 'en') AS language FROM stage3_transcripts)""",
     "boundary_source": _SESSIONS + "SELECT unit_id FROM flagged WHERE new_source",
     "boundary_union": _SESSIONS + "SELECT unit_id FROM flagged WHERE boundary",
     "boundary_duration": "SELECT DISTINCT unit_id FROM stage3_transcripts WHERE span_end - span_start > 4",
@@ -326,6 +362,14 @@ QUALIFY row_number() OVER (PARTITION BY relation_id ORDER BY line_no) <= 10""",
     FROM documents WHERE {strip("text")} LIKE 'Q:%' AND text LIKE '%A:%')
 ), g AS (SELECT doc_id, {_Q("Q:")} AS q, {_Q("A:")} AS a, substr(max_by(line, line_no) FILTER (line LIKE 'Wrong:%'), 7) AS w FROM l GROUP BY 1)
 SELECT doc_id, md5(q) AS question_md5, md5(a) AS answer_md5, CAST(coalesce(len(list_filter(string_split(w, ','), lambda x: {strip("x")} <> '')), 0) AS BIGINT) AS n_wrong FROM g WHERE q <> '' AND a <> ''""",
+    "extracted_concepts": f"""WITH {_EXTRACTED} SELECT segment_id, p[1] AS name, CASE WHEN lower(p[2]) IN ({quoted(CONCEPT_TYPES)}) THEN lower(p[2]) ELSE 'fact' END AS type, md5(p[3]) AS definition_md5, 1.0::DOUBLE AS confidence FROM pass1
+UNION ALL SELECT segment_id, substr(q, 1, 100), 'fact', md5(a), 0.9 FROM qa UNION ALL SELECT segment_id, substr(w, 1, 80), 'example', md5(''), 0.6 FROM wrong""",
+    "extracted_relations": f"""WITH {_EXTRACTED}, r AS (SELECT *, replace(lower(p[2]), ' ', '_') AS rel, coalesce(p[4], '') AS c FROM cut2 WHERE len(p) >= 3 AND p[1] <> '' AND p[3] <> '')
+SELECT segment_id, p[1] AS source_name, CASE WHEN rel IN ({quoted(RELATIONS)}) THEN rel ELSE 'explains' END AS relation, p[3] AS target_name,
+  coalesce(CASE WHEN lower(c) IN ('nan', '+nan', '-nan') THEN 1.0 WHEN regexp_full_match(c, '[+-]?([0-9][0-9_]*\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?') THEN greatest(0.0, least(1.0, try_cast(replace(c, '_', '') AS DOUBLE))) END, 0.8) AS confidence, CAST(NULL AS BOOLEAN) AS is_prereq
+FROM (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY segment_id ORDER BY line_no) <= 20) WHERE segment_id IN (SELECT segment_id FROM pass1)
+UNION ALL SELECT segment_id, p[1], 'requires', p[3], 0.85, true FROM (SELECT * FROM cut3 WHERE len(p) >= 3 AND p[1] <> '' AND p[3] <> '' QUALIFY row_number() OVER (PARTITION BY segment_id ORDER BY line_no) <= 10) WHERE segment_id IN (SELECT segment_id FROM pass1)
+UNION ALL SELECT segment_id, substr(q, 1, 100), 'contrasts_with', substr(w, 1, 80), 0.7, false FROM wrong""",
     "think_strip": f"SELECT DISTINCT concept_id, md5({strip('raw_line')}) AS reply_md5 FROM stage6_raw_concepts",
     "digits_clamp": "SELECT p_partkey, greatest(1, least(5, coalesce(try_cast(regexp_replace(p_brand, '[^0-9]', '', 'g') AS BIGINT), 2))) AS level FROM part",
     "topic_lines": f"""WITH {_lines("stage6_raw_concepts", "concept_id")}

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from conceptloom.config import EXTENSIONS
-from conceptloom.functions.text import path_name, path_stem, path_suffix, strip_white
+from conceptloom.functions.text import path_name, path_stem, path_suffix, strip_white, words
 from conceptloom.operators.ordered import running_counts
 from conceptloom.runtime import Scratch
 
@@ -66,10 +66,18 @@ def _unit(df: DataFrame, kind: str, chapter: str, start: Column, stop: Column, t
     )
 
 
+def whole_texts(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text) of files read whole."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
 def text_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
-    """One unit per text file; the ordinal counts blank ones too, which give no unit."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
-    rows = numbered(rows, "path")
+    return text_units_of(whole_texts(spark, path), chapter)
+
+
+def text_units_of(texts: DataFrame, chapter: str) -> DataFrame:
+    """One unit per text (path, text); the ordinal counts blank ones too, which give no unit."""
+    rows = numbered(texts, "path")
     return _unit(rows.filter(strip_white("text") != ""), "text", chapter, F.col("n"), F.col("n"), F.col("text"), F.col("n"))
 
 
@@ -97,15 +105,23 @@ def cues(text: Column) -> Column:
 
 
 def cue_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
-    """One unit per non-blank cue of SRT and VTT files."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(cues(F.col("value"))).alias("n", "c"))
+    return cue_units_of(whole_texts(spark, path), chapter)
+
+
+def cue_units_of(texts: DataFrame, chapter: str) -> DataFrame:
+    """One unit per non-blank cue of SRT and VTT texts (path, text)."""
+    rows = texts.select("path", F.posexplode(cues(F.col("text"))).alias("n", "c"))
     return _unit(rows, "text", chapter, F.col("c.start"), F.col("c.stop"), F.col("c.text"), F.col("n"))
 
 
 def question_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
-    """Question-bank JSON: one unit per item, confidence 0.95; items without question or answer give none."""
-    rows = spark.read.schema("items array<struct<question string, answer string, wrong array<string>>>").option("multiLine", "true").json(path)
-    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.posexplode("items").alias("n", "i")).filter("i.question is not null and i.answer is not null")
+    return question_units_of(whole_texts(spark, path), chapter)
+
+
+def question_units_of(texts: DataFrame, chapter: str) -> DataFrame:
+    """Question-bank JSON (path, text): one unit per item, confidence 0.95; items without question or answer give none."""
+    bank = F.from_json("text", "items array<struct<question string, answer string, wrong array<string>>>")
+    rows = texts.select("path", F.posexplode(bank["items"]).alias("n", "i")).filter("i.question is not null and i.answer is not null")
     wrong = F.when(F.size("i.wrong") > 0, F.concat(F.lit("Wrong: "), F.array_join("i.wrong", ", "))).otherwise("")
     return _unit(rows, "json", chapter, F.col("n"), F.col("n"), question_text(F.col("i.question"), F.col("i.answer"), wrong), F.col("n"), 0.95)
 
@@ -115,26 +131,68 @@ def question_text(question: Column, answer: Column, wrong: Column) -> Column:
 
 
 def transcript_units(spark: SparkSession, path: str, chapter: str) -> DataFrame:
-    """Transcript JSON (segments of start, end, text): one text unit per item."""
-    rows = spark.read.schema("segments array<struct<start double, `end` double, text string>>").option("multiLine", "true").json(path)
-    rows = rows.select(F.col("_metadata.file_path").alias("path"), F.posexplode("segments").alias("n", "i"))
+    return transcript_units_of(whole_texts(spark, path), chapter)
+
+
+def transcript_units_of(texts: DataFrame, chapter: str) -> DataFrame:
+    """Transcript JSON (path, text: segments of start, end, text): one text unit per item."""
+    spoken = F.from_json("text", "segments array<struct<start double, `end` double, text string>>")
+    rows = texts.select("path", F.posexplode(spoken["segments"]).alias("n", "i"))
     return _unit(rows, "text", chapter, F.col("i.start"), F.col("i.end"), F.coalesce("i.text", F.lit("")), F.col("n"))
 
 
 def unknown_json_units(spark: SparkSession, path: str, chapter: str, most: int = 4000) -> DataFrame:
-    """JSON of an unknown shape: one unit with the document's first characters, its span the number of its items (an object
-    is one item); unparsable documents give '[]' and no items."""
-    rows = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return unknown_json_units_of(whole_texts(spark, path), chapter, most)
+
+
+def unknown_json_units_of(texts: DataFrame, chapter: str, most: int = 4000) -> DataFrame:
+    """JSON of an unknown shape (path, text): one unit with the document's first characters, its span the number of its items (an
+    object is one item); unparsable documents give '[]' and no items."""
     whole = F.coalesce(F.to_json(F.try_variant_get(F.try_parse_json("text"), "$", "variant")), F.lit("[]"))
     items = F.coalesce(F.json_array_length(whole), F.when(whole != "[]", 1), F.lit(0))
-    return _unit(rows, "json", chapter, F.lit(0), items, F.substring(whole, 1, most), F.lit(0))
+    return _unit(texts, "json", chapter, F.lit(0), items, F.substring(whole, 1, most), F.lit(0))
 
 
-def media_units(listed: DataFrame, kind: str, chapter: str) -> DataFrame:
-    """One unit per image or video file, without text; a video's span is its duration if the listing has one, else 0."""
+def media_units(listed: DataFrame, kind: str, chapter: str, probed: DataFrame | None = None) -> DataFrame:
+    """One unit per image or video file, without text. A video's span is its duration and its subtype what a probe (path, duration,
+    subtype) said; one that could not be probed has duration 0 and subtype 'unknown', and is a unit all the same."""
     rows = listed.filter(F.col("kind") == kind)
+    if probed is not None:
+        rows = rows.join(probed.groupBy("path").agg(F.max("duration").alias("duration"), F.max("subtype").alias("subtype")), "path", "left")
     stop = F.col("duration") if "duration" in rows.columns else F.lit(0.0)
-    return _unit(rows, kind, chapter, F.lit(0.0), F.coalesce(stop, F.lit(0.0)), F.lit(""), F.lit(0))
+    out = _unit(rows, kind, chapter, F.lit(0.0), F.coalesce(stop, F.lit(0.0)), F.lit(""), F.lit(0))
+    if kind != "video":
+        return out
+    said = rows.select(F.col("path").alias("source_path"), (F.col("subtype") if "subtype" in rows.columns else F.lit(None).cast("string")).alias("__said"))
+    return out.join(said, "source_path").withColumn("video_subtype", F.coalesce("__said", F.lit("unknown"))).select(out.columns)
+
+
+def page_kind(text: Column, has_image: Column, least_words: int = 20) -> Column:
+    """text, visual or sparse: a page with enough words, one without them but with an image, and the rest."""
+    n = F.coalesce(F.size(words(text)), F.lit(0))
+    return F.when(n >= least_words, "text").when(has_image, "visual").otherwise("sparse")
+
+
+def page_units(pages: DataFrame, chapter: str, least_words: int = 20, size: int = 3) -> DataFrame:
+    """Units of pages (path, page, text, image): text pages in chunks of ``size`` over text pages alone, their span the first and last
+    page; a visual page as a unit without text and with its image; sparse pages give none."""
+    kinds = pages.withColumn("kind", page_kind(F.col("text"), F.coalesce(F.col("image") != "", F.lit(False)), least_words))
+    texts = page_chunks(kinds.filter("kind = 'text'"), "path", "page", "text", size)
+    made = _unit(texts, "pdf", chapter, F.col("first_page"), F.col("last_page"), F.col("chunk_text"), F.col("first_page"))
+    seen = kinds.filter("kind = 'visual'")
+    shown = _unit(seen, "pdf", chapter, F.col("page"), F.col("page"), F.lit(""), F.col("page"))
+    images = seen.select(F.col("path").alias("source_path"), F.col("page").cast("long").alias("unit_seq"), F.array("image").alias("__k"))
+    return made.unionByName(shown.join(images, ["source_path", "unit_seq"]).withColumn("keyframe_paths", F.col("__k")).select(made.columns))
+
+
+def visual_pages(units: DataFrame) -> DataFrame:
+    """Page units that are to be described by their image: those without text."""
+    return units.filter((F.col("source_type") == "pdf") & (F.coalesce("raw_text", F.lit("")) == ""))
+
+
+def encoded_images(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, data): files as base64 texts, as models take them."""
+    return spark.read.format("binaryFile").load(folder).select("path", F.base64("content").alias("data"))
 
 
 def page_chunks(pages: DataFrame, source: str, page: str, text: str, size: int = 3) -> DataFrame:
