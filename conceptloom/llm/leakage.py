@@ -15,8 +15,9 @@ from conceptloom.runtime import Scratch
 
 #: Words that must run on in both texts, and words of the shortest tile that counts to the coverage.
 SEED_WORDS, TILE_WORDS = 10, 5
-#: Bits of the filter through which windows of the corpus must pass before they are shuffled: 8 KB to 16 MB.
-MIN_BITS, MAX_BITS = 1 << 16, 1 << 27
+#: Bits of the filter through which windows of the corpus must pass before they are shuffled: 128 KB to 16 MB. A window sets four of
+#: them, read off its hash at these places; with 64 bits to a window about one other window in 80,000 passes.
+MIN_BITS, MAX_BITS, PER_WINDOW, PLACES = 1 << 20, 1 << 27, 64, (0, 13, 26, 37)
 #: Base of the rolling hash over 64-bit word codes: a fixed odd number.
 BASE = 0x9E3779B97F4A7C15
 CHUNK_CHARS, KNOWN_WORDS = 2_000_000, 2_000_000
@@ -147,14 +148,14 @@ def tiles(a: list[str], b: list[str], least: int = TILE_WORDS, first: int = 20)
 
 
 def filter_size(n: int) -> int:
-    """Bits of a filter for n windows: 16 for each, a power of two, between MIN_BITS and MAX_BITS."""
-    return min(MAX_BITS, max(MIN_BITS, 1 << (16 * max(1, n) - 1).bit_length()))
+    """Bits of a filter for n windows: PER_WINDOW for each, a power of two, between MIN_BITS and MAX_BITS."""
+    return min(MAX_BITS, max(MIN_BITS, 1 << (PER_WINDOW * max(1, n) - 1).bit_length()))
 
 
 def _filter_bits(seeds: DataFrame, bits: int) -> np.ndarray:
     """The filter as words of 64 bits; what comes to the driver has at most bits / 64 rows, however many seeds there are."""
-    at = F.pmod("h", F.lit(bits))
-    rows = seeds.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(63).alias("bit")).select("word", F.expr("shiftleft(1L, cast(bit as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
+    at = F.col("at")
+    rows = seeds.select(F.explode(F.array(*[F.shiftrightunsigned("h", k).bitwiseAND(F.lit(bits - 1)) for k in PLACES])).alias("at")).select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(63).alias("bit")).select("word", F.expr("shiftleft(1L, cast(bit as int))").alias("mask")).groupBy("word").agg(F.bit_or("mask").alias("mask")).toPandas()
     out = np.zeros(bits // 64, dtype=np.uint64)
     out[rows["word"].to_numpy(np.int64)] = rows["mask"].to_numpy(np.int64).view(np.uint64)
     return out
@@ -193,8 +194,10 @@ def leaks(documents: DataFrame, items: DataFrame, run_words: int = SEED_WORDS, t
 
         def some(rows: pd.DataFrame) -> pd.DataFrame:
             owner, h = w.of(rows["text"].tolist())
-            at = h & (filter_bits - 1)
-            hit = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            hit = np.ones(len(h), dtype=bool)
+            for k in PLACES:
+                at = (h.view(np.uint64) >> np.uint64(k)) & np.uint64(filter_bits - 1)
+                hit &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
             owner, h = owner[hit], h[hit]
             which, first = np.unique(owner, return_index=True)
             out = rows.iloc[which].copy()
