@@ -33,30 +33,67 @@ def triage(similarity, merge: float, check: float):
     return F.when(similarity >= merge, "merge").when(similarity >= check, "check").otherwise("split")
 
 
+def density_tree(points: np.ndarray, least: int, room: int = 1_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distance, near, far) of the edges of the points' mutual-reachability tree, shortest first, on ties the smallest ends first.
+
+    Equal points are one kind, whose distances are computed once: the points of a kind that aren't in the tree yet have the same
+    nearest one in it, and the first of them comes next. So the tree is the one that all points give one by one, in time
+    quadratic in the kinds. Distances are computed as they are needed, ``room`` at a time, never held as a matrix.
+    """
+    n = len(points)
+    rows = points + 0  # a zero has one sign
+    kind = pd.factorize(np.array([x.tobytes() for x in rows], dtype=object))[0]  # in the order of their first points
+    _, first, count = np.unique(kind, return_index=True, return_counts=True)
+    points, m = rows[first].astype(float), len(first)
+    members = np.append(kind.argsort(kind="stable"), n)  # by kind, each kind's in order
+    ends = count.cumsum()
+    following = ends - count
+    sq = (points**2).sum(axis=1)
+
+    def apart(at: slice | int) -> np.ndarray:
+        return np.sqrt(np.maximum(sq[at][..., None] + sq - 2 * points[at] @ points.T, 0))
+
+    core = np.empty(m)
+    for i in range(0, m, step := max(1, room // m)):
+        far = apart(at := slice(i, i + step))
+        far[np.arange(len(far)), np.arange(i, i + len(far))] = 0
+        nearest = np.argpartition(far, min(least, m - 1), axis=1)[:, : least + 1]
+        near = np.take_along_axis(far, nearest, axis=1)
+        order = near.argsort(axis=1)
+        enough = np.take_along_axis(count[nearest], order, axis=1).cumsum(axis=1) > least
+        core[at] = np.take_along_axis(np.take_along_axis(near, order, axis=1), enough.argmax(axis=1)[:, None], axis=1)[:, 0]
+    best, near, seen, nxt = np.full(m, np.inf), np.zeros(m, int), np.zeros(m, bool), members[following]
+    out, a, b = np.empty(n - 1), np.empty(n - 1, int), np.empty(n - 1, int)
+    point, k = 0, kind[0]
+    for e in range(n - 1):  # Prim's tree
+        following[k] += 1
+        nxt[k] = members[following[k]] if following[k] < ends[k] else n
+        if not seen[k]:
+            seen[k] = True
+            reach = np.maximum(np.maximum(core[k], core), apart(k))
+            reach[k] = core[k]
+            closer = (nxt < n) & (reach < best)
+            best[closer], near[closer] = reach[closer], point
+        if nxt[k] == n:
+            best[k] = np.inf
+        low = best.min()
+        tied = np.flatnonzero(best == low)
+        k = tied[nxt[tied].argmin()]
+        point = nxt[k]
+        out[e], a[e], b[e] = low, near[k], point
+    order = np.lexsort((b, a, out))
+    return out[order], a[order], b[order]
+
+
 def density_clusters(points: np.ndarray, least: int) -> np.ndarray:
     """Labels by hierarchical density clustering (excess of mass over the mutual-reachability tree); -1 is noise.
 
-    Distances are computed as they are needed, never held as a matrix: memory is linear in the points, time quadratic.
+    Memory is linear in the points, time quadratic in the different ones.
     """
     n = len(points)
     if n < least + 1:
         return np.full(n, -1)
-    sq = (points**2).sum(axis=1)
-    step = max(1, 4_000_000 // n)
-    apart = lambda at: np.sqrt(np.maximum(sq[at][..., None] + sq - 2 * points[at] @ points.T, 0))
-    k = min(least, n - 1)
-    core = np.concatenate([np.partition(apart(slice(i, i + step)), k, axis=1)[:, k] for i in range(0, n, step)])
-    inside, best, near = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int)
-    edges, at = [], 0
-    for _ in range(n - 1):  # Prim's tree
-        inside[at], best[at] = True, np.inf
-        reach = np.maximum(np.maximum(core[at], core), apart(at))
-        closer = ~inside & (reach < best)
-        best[closer], near[closer] = reach[closer], at
-        nxt = int(best.argmin())
-        edges.append((best[nxt], near[nxt], nxt))
-        at = nxt
-    edges.sort()
+    edges = zip(*(x.tolist() for x in density_tree(points, least)))
     parent, node, size, kids = list(range(n)), list(range(n)), {i: 1 for i in range(n)}, {}
 
     def find(x: int) -> int:
@@ -135,7 +172,7 @@ def clustered(vectors: DataFrame, scope: str, item: str, vector: str, least: int
 
     def of(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(item)
-        labels = density_clusters(np.stack(rows[vector].to_numpy()).astype(float), least)
+        labels = density_clusters(np.stack(rows[vector].to_numpy()), least)
         return pd.DataFrame({scope: rows[scope].to_numpy(), item: rows[item].to_numpy(), "cluster": labels})
 
     return vectors.select(scope, item, vector).groupBy(scope).applyInPandas(of, f"{scope} {kind[scope]}, {item} {kind[item]}, cluster long")

@@ -14,7 +14,7 @@ from conceptloom.runtime import Scratch
 def topic_clusters(vectors: DataFrame, scope: str, item: str, vector: str, least: int) -> DataFrame:
     """(scope, item, topic): density clusters in which noise goes to the first cluster of its scope; a scope of noise alone is
     one topic."""
-    got = clustered(vectors, scope, item, vector, least)
+    got = Scratch(vectors.sparkSession, "clusters").save(clustered(vectors, scope, item, vector, least), "all")
     first = got.groupBy(scope).agg(F.min(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("first"))
     return got.join(first, scope).select(scope, item, F.when(F.col("cluster") >= 0, F.col("cluster")).otherwise(F.coalesce("first", F.lit(0))).alias("topic"))
 
